@@ -1,0 +1,7 @@
+"""Streaming.
+
+The report is a batch job over a snapshot of its feeds: it has no stream
+source, watermark, trigger or state, so nothing is built here.  A caller who
+receives the staging feed as a stream can run ``perfmart.plans.report`` per
+micro-batch from ``foreachBatch``; the publish step is idempotent per date.
+"""
