@@ -58,7 +58,13 @@ def report_stages(inputs: ReportInputs, cfg: ReportConfig,
     try:
         # Clean, recode, relabel, drop foreign period labels.
         staging = put("staging", read_staging(inputs.staging))
-        prepared = put("prepared", recode.prepare_staging(staging))
+        cleaned = put("cleaned", recode.clean_labels(staging))
+        scoped = put("scoped", recode.scoped_recode(cleaned))
+        relabelled = put("relabelled", recode.duplicate_relabel(scoped))
+        reassigned = put("reassigned", recode.reassign_peer(relabelled))
+        normalised = put("normalised", recode.normalise_period(reassigned))
+        filtered = put("filtered", recode.drop_foreign_labels(normalised, scoped.select("peersValue")))
+        prepared = put("prepared", recode.copy_period_columns(filtered))
         # Metric names -> columns, metric families.
         pivoted = put("pivoted", reshape.pivot_sum(prepared, schema.pivot_keys, "metricType",
                                                    "metricValue", schema.metrics))
