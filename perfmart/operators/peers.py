@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from perfmart import config as C
 from perfmart.functions import category_average
-from perfmart.operators.relational import anti_join, contains_join, except_values, min_per_key
+from perfmart.operators.relational import (
+    anti_join,
+    bounded_broadcast,
+    contains_join,
+    except_values,
+    min_per_key,
+)
 
 AVG_COL = "averagecat"
 
@@ -27,12 +33,20 @@ def category_fallback(labelled: DataFrame, house_prefix: str, distinct: bool = T
     category, labelled ``peer Category Average`` (one null-attribute row when
     the category is no group).  Then the label replaces the group."""
     avg_text = C.CATEGORY_AVERAGE.strip()
-    with_avg = labelled.where(F.col(AVG_COL).contains(avg_text)).select("peersValue").distinct()
-    wanted = (anti_join(labelled, with_avg, "peersValue")
-              .where(F.col("groupInvestment").startswith(house_prefix))
-              .select("reportName", "peersValue", "morningstarCategory").distinct())
+    with_avg = bounded_broadcast(
+        labelled.where(F.col(AVG_COL).contains(avg_text)).select("peersValue").distinct())
+    wanted = bounded_broadcast(
+        anti_join(labelled.where(F.col("groupInvestment").startswith(house_prefix)),
+                  with_avg, "peersValue")
+        .select("reportName", "peersValue", "morningstarCategory").distinct())
     donors = labelled.drop("peersValue", "reportName", "morningstarCategory", AVG_COL)
-    borrowed = (wanted.join(donors, wanted["morningstarCategory"] == donors["groupInvestment"], "left")
+    # Inner join of the donors (the broadcast side stays small) plus the wanted
+    # triples without any donor, instead of a left join that would have to
+    # stream the small side.
+    matched = wanted.join(donors, wanted["morningstarCategory"] == donors["groupInvestment"], "inner")
+    unmatched = anti_join(wanted, donors.select(F.col("groupInvestment").alias("__g")).distinct(),
+                          F.col("morningstarCategory") == F.col("__g"))
+    borrowed = (matched.unionByName(unmatched, allowMissingColumns=True)
                       .withColumn(AVG_COL, F.concat(F.col("peersValue"), F.lit(C.CATEGORY_AVERAGE)))
                       .select(*labelled.columns))
     out = (labelled.unionByName(borrowed)
@@ -43,7 +57,8 @@ def category_fallback(labelled: DataFrame, house_prefix: str, distinct: bool = T
 def attach_peer_name(df: DataFrame, feed: DataFrame, distinct: bool = True) -> DataFrame:
     """``peersLib`` := feed ``Lib`` of the feed rows whose ``Cod`` is the peer.
     The lookup is made distinct before the join, so only distinct names fan out."""
-    names = feed.select(F.col("Cod").alias("__cod"), F.col("Lib").alias("peersLib")).distinct()
+    names = bounded_broadcast(
+        feed.select(F.col("Cod").alias("__cod"), F.col("Lib").alias("peersLib")).distinct())
     out = (df.join(names, F.col("peersValue") == F.col("__cod"), "left").drop("__cod"))
     return out.distinct() if distinct else out
 
@@ -89,6 +104,7 @@ def sector_rows(named: DataFrame, uncovered: DataFrame, transco: DataFrame,
                 distinct: bool = True) -> DataFrame:
     """Sector fan-out for uncovered peers (rows already carry ``peersLib``),
     then the label collapse."""
-    ps = sector_of_peer(named, transco).join(uncovered.select("peersValue"), "peersValue", "left_semi")
+    ps = bounded_broadcast(sector_of_peer(named, transco)
+                           .join(uncovered.select("peersValue"), "peersValue", "left_semi"))
     fan = sector_fanout(named, ps, distinct=distinct)
     return collapse_sector_label(named.unionByName(fan))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perfmart import config as C
+from perfmart.operators.relational import bounded_broadcast
 from perfmart.functions import (
     is_own_period,
     map_lookup,
@@ -108,8 +109,12 @@ def normalise_period(df: DataFrame, label: str = C.SINCE_PM,
 def drop_foreign_labels(df: DataFrame, peers: DataFrame,
                         marker: str = C.FOREIGN_PERIOD_MARKER) -> DataFrame:
     """Remove rows whose period equals any peer code of ``peers`` (a one-column
-    frame ``peersValue``) or contains ``marker``; a null period is kept."""
-    codes = peers.select(F.col("peersValue").alias("__code")).distinct()
+    frame ``peersValue``) or contains ``marker``; a null period is kept.
+
+    The code set is small (one row per peer group) and is broadcast after a
+    size check: a shuffle join here would partition the whole staging table
+    by period label, a key with a handful of values."""
+    codes = bounded_broadcast(peers.select(F.col("peersValue").alias("__code")).distinct())
     # Left join on the distinct codes + "no match", i.e. an anti join whose
     # condition stays on the computed period column (an anti join would be
     # pushed below the projections, inlining the whole label expression).
@@ -130,11 +135,18 @@ def copy_period_columns(df: DataFrame) -> DataFrame:
     })
 
 
-def prepare_staging(staging: DataFrame) -> DataFrame:
+def peer_codes(raw_staging: DataFrame) -> DataFrame:
+    """Peer codes after the scoped recode (before relabelled copies are added).
+    Row-wise steps only, so it reads just the peer and report columns of the
+    raw (not yet deduplicated) staging rows."""
+    return scoped_recode(clean_labels(raw_staging)).select("peersValue").distinct()
+
+
+def prepare_staging(staging: DataFrame, raw_staging: DataFrame | None = None) -> DataFrame:
     """C1 to C6 in order, then the report-level period columns.  The peer set of
     the foreign-label filter is taken after the scoped recode and before the
     relabelled copies (so copies do not add codes to it)."""
     recoded = scoped_recode(clean_labels(staging))
-    peers = recoded.select("peersValue")
+    codes = peer_codes(raw_staging if raw_staging is not None else staging)
     relabelled = normalise_period(reassign_peer(duplicate_relabel(recoded)))
-    return copy_period_columns(drop_foreign_labels(relabelled, peers))
+    return copy_period_columns(drop_foreign_labels(relabelled, codes))

@@ -1,10 +1,11 @@
 """Generic relational building blocks used by the report operators.
 
-Each one is a plain DataFrame composition.  None of them broadcasts a side
-on its own: equi-joins are left to the planner and AQE, which turns a join
-into a broadcast hash join only after measuring the build side at runtime
-(``spark.sql.autoBroadcastJoinThreshold``), and keeps a sort-merge join with
-skew splitting otherwise.
+Each one is a plain DataFrame composition.  Broadcasts are never blind: a
+lookup is broadcast by ``bounded_broadcast`` only after a runtime row count
+proves it small (a config table with a handful of literal rows, or a
+one-row aggregate, is broadcast directly).  Everything else is left to the
+planner and AQE: a sort-merge join with skew splitting, turned into a
+broadcast hash join only when AQE measured the build side at runtime.
 """
 
 from __future__ import annotations
@@ -48,6 +49,22 @@ def total_order(df: DataFrame, first: Sequence[Column], keys: Sequence[str]) ->
     return [*first, *[F.col(f"`{c}`").asc_nulls_first() for c in rest]]
 
 
+MAX_BROADCAST_ROWS = 200_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only once its size is proven: one small job fetches at
+    most ``max_rows + 1`` rows; if they fit, the join side becomes a broadcast
+    local table (the big side is then never shuffled by a low-cardinality key);
+    otherwise ``df`` is returned unchanged for a shuffle join, where AQE's skew
+    handling applies.  Use it on lookups derived from small or materialised
+    inputs, since the check computes ``df``."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str,
                    descending: bool = True) -> DataFrame:
     """Keep one row per key: the newest ``order_col`` (nulls last), ties broken
@@ -136,6 +153,7 @@ def contains_pairs(texts: DataFrame, text_col: str, patterns: DataFrame, pattern
 def contains_join(left: DataFrame, text_col: str, right: DataFrame, pattern_col: str,
                   offset: int = 0, gram: int = 3) -> DataFrame:
     """``left JOIN right ON substring(text, offset+1) LIKE '%' || pattern || '%'``
-    (pattern taken literally), as two equi-joins through ``contains_pairs``."""
-    pairs = contains_pairs(left, text_col, right, pattern_col, offset, gram)
+    (pattern taken literally), as two equi-joins through ``contains_pairs``.
+    The matching pairs are distinct labels: broadcast after a size check."""
+    pairs = bounded_broadcast(contains_pairs(left, text_col, right, pattern_col, offset, gram))
     return left.join(pairs, text_col).join(right, pattern_col)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perfmart import config as C
-from perfmart.operators.relational import latest_per_key
+from perfmart.operators.relational import bounded_broadcast, latest_per_key
 
 
 def attach_report_date(df: DataFrame, week_period: str = C.WEEK_PERIOD,
@@ -16,10 +16,11 @@ def attach_report_date(df: DataFrame, week_period: str = C.WEEK_PERIOD,
     """``date`` := end date of the ``week_period`` rows of the same file and
     report.  Rows of a (file, report) without such a row are dropped; several
     end dates fan the rows out.  The date table has one row per (file, report,
-    date), so AQE broadcasts it at runtime when it is small."""
+    date): broadcast after a size check, never a shuffle of the rows by the
+    few (file, report) keys."""
     dates = (df.where((F.col("periodType") == week_period) & F.col("periodEndDate").isNotNull())
                .select(*on, F.col("periodEndDate").alias("date")).distinct())
-    return df.join(dates, list(on), "inner")
+    return df.join(bounded_broadcast(dates), list(on), "inner")
 
 
 def latest_calculation(df: DataFrame, keys: Sequence[str],

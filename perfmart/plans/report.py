@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from perfmart.config import ReportConfig
 from perfmart.operators import benchmark, peers, periods, publish, recode, reshape, snapshot
-from perfmart.sources.envelope import read_staging
-from perfmart.sources.files import cut_lineage
+from perfmart.sources.envelope import flatten
+from perfmart.sources.files import cut_lineage, stage_to_parquet
 from perfmart.sources.standins import ReportInputs
 
 
@@ -31,12 +31,13 @@ class _Done(Exception):
 
 def report_stages(inputs: ReportInputs, cfg: ReportConfig,
                   dedupe_each_step: bool = True,
-                  materialise: Callable[[DataFrame], DataFrame] | None = cut_lineage,
+                  materialise: Callable[[DataFrame], DataFrame] | None = stage_to_parquet,
                   upto: str | None = None) -> dict[str, DataFrame]:
     """Intermediate frames by name, built up to and including ``upto``.
 
-    ``materialise`` is applied where a frame feeds several self-joins (newest
-    rows, the frame with index rows, peer names, sector rows, the report):
+    ``materialise`` is applied where a frame feeds several consumers (the
+    pivoted metrics, the frame with index rows, peer names, sector rows, the
+    report):
     each is computed once into the shared checkpoint folder and read back,
     instead of every consumer re-running the whole upstream plan (the logical
     plan would otherwise double with every reuse).  The frame returned for
@@ -56,29 +57,32 @@ def report_stages(inputs: ReportInputs, cfg: ReportConfig,
         return s[name]
 
     try:
+        # Reference feed, unpivoted benchmarks, special-fund rows
+        # (independent of the staging branch, so built first).
+        feed = put("feed", benchmark.load_reference(inputs.main_feed, inputs.share_feed,
+                                                    names.special_fund))
+        bench = put("bench", reshape.unpivot_benchmarks(feed))
+        special = put("special", benchmark.special_rows(bench, names.special_fund,
+                                                        names.special_report))
         # Clean, recode, relabel, drop foreign period labels.
-        staging = put("staging", read_staging(inputs.staging))
+        raw = flatten(inputs.staging, "data", ["sourceFileName"])
+        staging = put("staging", raw.distinct())
         cleaned = put("cleaned", recode.clean_labels(staging))
         scoped = put("scoped", recode.scoped_recode(cleaned))
         relabelled = put("relabelled", recode.duplicate_relabel(scoped))
         reassigned = put("reassigned", recode.reassign_peer(relabelled))
         normalised = put("normalised", recode.normalise_period(reassigned))
-        filtered = put("filtered", recode.drop_foreign_labels(normalised, scoped.select("peersValue")))
+        filtered = put("filtered", recode.drop_foreign_labels(normalised, recode.peer_codes(raw)))
         prepared = put("prepared", recode.copy_period_columns(filtered))
         # Metric names -> columns, metric families.
         pivoted = put("pivoted", reshape.pivot_sum(prepared, schema.pivot_keys, "metricType",
                                                    "metricValue", schema.metrics))
-        families = put("families", reshape.coalesce_families(pivoted))
+        families = put("families", reshape.coalesce_families(pivoted), cut=True)
         # Report date, newest calculation per key.
         with_date = put("with_date", snapshot.attach_report_date(families))
-        dated = put("dated", snapshot.latest_calculation(with_date, schema.window_keys), cut=True)
-        # Reference feed, flag, index and special-fund rows.
-        feed = put("feed", benchmark.load_reference(inputs.main_feed, inputs.share_feed,
-                                                    names.special_fund))
+        dated = put("dated", snapshot.latest_calculation(with_date, schema.window_keys))
+        # Flag, index rows, ragged append.
         flagged = put("flagged", benchmark.membership_flag(dated, feed, names.flag_col))
-        bench = put("bench", reshape.unpivot_benchmarks(feed))
-        special = put("special", benchmark.special_rows(bench, names.special_fund,
-                                                        names.special_report))
         index = put("index", benchmark.index_rows(flagged, bench, names.flag_col, distinct=d))
         ci_index = put("ci_index", benchmark.append_ragged(flagged, index, special), cut=True)
         # Category averages.
@@ -105,7 +109,7 @@ def report_stages(inputs: ReportInputs, cfg: ReportConfig,
 
 
 def build_report(inputs: ReportInputs, cfg: ReportConfig,
-                 materialise: Callable[[DataFrame], DataFrame] | None = cut_lineage) -> DataFrame:
+                 materialise: Callable[[DataFrame], DataFrame] | None = stage_to_parquet) -> DataFrame:
     """The distinct report table (all dates), before slicing."""
     return report_stages(inputs, cfg, dedupe_each_step=False, materialise=materialise,
                          upto="report")["report"]
@@ -119,7 +123,7 @@ def report_slice(report: DataFrame, cfg: ReportConfig) -> DataFrame:
 def run_report(inputs: ReportInputs, cfg: ReportConfig, target: str) -> str:
     """Build the report, cut its lineage (it is read twice: for the snapshot
     date and for the slice), and replace the slice's date in ``target``."""
-    report = cut_lineage(build_report(inputs, cfg))
+    report = stage_to_parquet(build_report(inputs, cfg))
     return publish.publish_slice(report_slice(report, cfg), target)
 
 

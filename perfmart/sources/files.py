@@ -37,6 +37,15 @@ def parquet_roundtrip(df: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (shared storage)."""
+    """Reliable checkpoint into ``spark.checkpoint.dir`` (shared storage).
+    Checkpointed rows come back as an RDD scan: no column pruning and no file
+    statistics, so the report prefers ``stage_to_parquet``."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def stage_to_parquet(df: DataFrame) -> DataFrame:
+    """Lineage cut through a Parquet table under the shared checkpoint folder:
+    computed once, survives lost executors, and later reads prune columns and
+    give AQE real file sizes for its join decisions."""
+    return parquet_roundtrip(df)
