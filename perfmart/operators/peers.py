@@ -100,11 +100,13 @@ def collapse_sector_label(df: DataFrame, infix: str = C.IA_INFIX, label: str = C
                                 F.lit(label)).otherwise(F.col("groupInvestment")))
 
 
-def sector_rows(named: DataFrame, uncovered: DataFrame, transco: DataFrame,
-                distinct: bool = True) -> DataFrame:
-    """Sector fan-out for uncovered peers (rows already carry ``peersLib``),
-    then the label collapse."""
-    ps = bounded_broadcast(sector_of_peer(named, transco)
-                           .join(uncovered.select("peersValue"), "peersValue", "left_semi"))
-    fan = sector_fanout(named, ps, distinct=distinct)
+def peer_sectors(named: DataFrame, uncovered: DataFrame, transco: DataFrame) -> DataFrame:
+    """(peersValue, sector) of the uncovered peers (C20 restricted by C21)."""
+    return sector_of_peer(named, transco).join(uncovered.select("peersValue"), "peersValue", "left_semi")
+
+
+def sector_rows(named: DataFrame, peer_sector: DataFrame, distinct: bool = True) -> DataFrame:
+    """Sector fan-out of the uncovered peers' sectors (rows already carry
+    ``peersLib``), then the label collapse."""
+    fan = sector_fanout(named, bounded_broadcast(peer_sector), distinct=distinct)
     return collapse_sector_label(named.unionByName(fan))

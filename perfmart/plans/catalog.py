@@ -12,7 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from perfmart.plans import oracle
+from perfmart.operators import peers, reshape
+from perfmart.plans import oracle, primitives
 from perfmart.plans.report import doubles, report_stages
 from perfmart.sources.standins import STANDIN_CONFIG, standin_inputs
 
@@ -42,6 +43,7 @@ STAGE_KEYS: dict[str, str] = {
     "category_fallback": "eaa",
     "join_left_expr": "named",
     "except_values": "uncovered",
+    "group_first": "peer_sector",
     "sector_fanout": "sector",
     "propagate_dates": "periods",
     "project_subset": "projected",
@@ -70,14 +72,40 @@ def report_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  upto="cloned")["cloned"])
 
 
+def unpivot_structs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C13 through ``explode(array(struct))`` instead of ``unpivot``."""
+    from perfmart import config as C
+    feed = report_stages(standin_inputs(spark, sf_dir), STANDIN_CONFIG, upto="feed")["feed"]
+    bench_cols = {src for src, _ in C.BENCH_PERIODS}
+    ids = [c for c in feed.columns if c not in bench_cols]
+    long = reshape.unpivot_structs(feed, ids, C.BENCH_PERIODS, "periodType", "return")
+    return long.withColumns({"periodStartDate": long["Dat"], "date": long["Dat"]})
+
+
+def collapse_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C23 alone, on the rows with peer names."""
+    named = report_stages(standin_inputs(spark, sf_dir), STANDIN_CONFIG, upto="named")["named"]
+    return doubles(peers.collapse_sector_label(named))
+
+
 def _build() -> tuple[dict[str, Query], dict[str, str]]:
     queries: dict[str, Query] = {}
     sql: dict[str, str] = {}
     for key, stage in STAGE_KEYS.items():
         queries[key] = stage_query(stage)
         sql[key] = oracle.stage_sql(_ORACLE_STAGE.get(stage, stage))
+    queries["unpivot_structs"] = unpivot_structs
+    sql["unpivot_structs"] = oracle.stage_sql("bench")
+    queries["collapse_label"] = collapse_label
+    sql["collapse_label"] = oracle.stage_sql(
+        "named", "SELECT * REPLACE (CASE WHEN groupInvestment LIKE '%IA%' AND isin IS NULL "
+                 "THEN 'IA SECTOR' ELSE groupInvestment END AS groupInvestment) FROM named")
     queries["report_mart"] = report_mart
     sql["report_mart"] = oracle.stage_sql("cloned")
+    for key, fn in primitives.QUERIES.items():
+        queries[key] = fn
+        if key in primitives.ORACLE:
+            sql[key] = primitives.ORACLE[key]
     return queries, sql
 
 

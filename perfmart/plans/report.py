@@ -91,8 +91,8 @@ def report_stages(inputs: ReportInputs, cfg: ReportConfig,
         # Peer names, uncovered peers, sector rows.
         named = put("named", peers.attach_peer_name(eaa, feed, distinct=d), cut=True)
         uncovered = put("uncovered", peers.uncovered_peers(ci_index))
-        sector = put("sector", peers.sector_rows(named, uncovered, inputs.transco, distinct=d),
-                     cut=True)
+        peer_sector = put("peer_sector", peers.peer_sectors(named, uncovered, inputs.transco))
+        sector = put("sector", peers.sector_rows(named, peer_sector, distinct=d), cut=True)
         # Period dates of synthetic rows.
         dates = put("periods", periods.propagate_dates(sector, distinct=d))
         # Output columns, scaling, labels (one distinct covers both).

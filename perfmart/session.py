@@ -35,6 +35,11 @@ def get_session(master: str | None = None, app: str = "perfmart",
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus) * 2))
         .config("spark.driver.memory", "8g")
     )
+    event_dir = os.environ.get("PERFMART_EVENT_LOG")
+    if event_dir:
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.compress", "false")
+                   .config("spark.eventLog.dir", event_dir))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

@@ -52,8 +52,17 @@ FEED_FIELDS = ("isin", "Cod", "Lib", "DevCot", "Dat", "bench1W", "bench3M", "ben
                "bench1Y", "bench3Y", "bench5Y", "benchPm")
 
 
+_READS: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; the (immutable) DataFrame is reused within a session so
+    file listing and footer reads happen once."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def _case(c: Column, pairs, default: Column) -> Column:
@@ -164,8 +173,8 @@ def _weekly_house(spark: SparkSession, sf_dir: str) -> DataFrame:
                   s(F.lit(True)).alias("benchPm")))
 
 
-def main_feed_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = _weekly_house(spark, sf_dir)
+def main_feed_envelope(spark: SparkSession, sf_dir: str, weekly: DataFrame | None = None) -> DataFrame:
+    w = weekly if weekly is not None else _weekly_house(spark, sf_dir)
     flat = w.select("isin", F.col("code").alias("Cod"),
                     F.concat(F.lit("House "), F.col("code"), F.lit(" Fund")).alias("Lib"),
                     "DevCot", "Dat", "bench1W", "bench3M", "benchYtd", "bench1Y", "bench3Y",
@@ -174,8 +183,8 @@ def main_feed_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def share_feed_envelope(spark: SparkSession, sf_dir: str,
-                        names: HouseNames = STANDIN_NAMES) -> DataFrame:
-    w = _weekly_house(spark, sf_dir)
+                        names: HouseNames = STANDIN_NAMES, weekly: DataFrame | None = None) -> DataFrame:
+    w = weekly if weekly is not None else _weekly_house(spark, sf_dir)
     lib = (F.when((F.col("code") == "CS") & (F.col("DevCot") == "EUR"), F.lit(names.special_fund))
             .when(F.col("code") == "CS", F.concat(F.lit(names.special_fund + " "), F.col("DevCot")))
             .otherwise(F.concat(F.lit("House Share "), F.col("c_name"))))
@@ -208,9 +217,10 @@ class ReportInputs:
 
 
 def standin_inputs(spark: SparkSession, sf_dir: str, csv: bool = False) -> ReportInputs:
+    weekly = _weekly_house(spark, sf_dir)
     return ReportInputs(
         staging=staging_envelope(spark, sf_dir),
-        main_feed=main_feed_envelope(spark, sf_dir),
-        share_feed=share_feed_envelope(spark, sf_dir),
+        main_feed=main_feed_envelope(spark, sf_dir, weekly),
+        share_feed=share_feed_envelope(spark, sf_dir, weekly=weekly),
         transco=transco_csv(spark, sf_dir) if csv else transco_frame(spark, sf_dir),
     )
