@@ -44,8 +44,13 @@ def category_fallback(labelled: DataFrame, house_prefix: str, distinct: bool = T
     # triples without any donor, instead of a left join that would have to
     # stream the small side.
     matched = wanted.join(donors, wanted["morningstarCategory"] == donors["groupInvestment"], "inner")
-    unmatched = anti_join(wanted, donors.select(F.col("groupInvestment").alias("__g")).distinct(),
-                          F.col("morningstarCategory") == F.col("__g"))
+    # Categories of ``wanted`` that occur as a group: a semi join against the
+    # small broadcast category list, so at most one row per wanted category
+    # leaves the donor scan (no distinct over all group labels).
+    categories = wanted.select(F.col("morningstarCategory").alias("__g")).distinct()
+    found = (donors.select(F.col("groupInvestment").alias("__g"))
+                   .join(F.broadcast(categories), "__g", "left_semi").distinct())
+    unmatched = anti_join(wanted, found, F.col("morningstarCategory") == F.col("__g"))
     borrowed = (matched.unionByName(unmatched, allowMissingColumns=True)
                       .withColumn(AVG_COL, F.concat(F.col("peersValue"), F.lit(C.CATEGORY_AVERAGE)))
                       .select(*labelled.columns))
