@@ -72,6 +72,21 @@ def report_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  upto="cloned")["cloned"])
 
 
+def publish_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C29 on the real report: build, publish the snapshot slice into a
+    date-partitioned table under the shared scratch folder (twice: the
+    second run replaces the same partition), read the table back."""
+    from perfmart.operators.publish import read_published
+    from perfmart.plans.report import run_report
+    from perfmart.session import scratch_path
+
+    target = scratch_path(spark, "report-table")
+    for _ in range(2):
+        run_report(standin_inputs(spark, sf_dir, csv=True), STANDIN_CONFIG, target)
+    back = read_published(spark, target)
+    return doubles(back.select(*[c for c in back.columns if c != "date"], "date"))
+
+
 def unpivot_structs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C13 through ``explode(array(struct))`` instead of ``unpivot``."""
     from perfmart import config as C
@@ -102,6 +117,8 @@ def _build() -> tuple[dict[str, Query], dict[str, str]]:
                  "THEN 'IA SECTOR' ELSE groupInvestment END AS groupInvestment) FROM named")
     queries["report_mart"] = report_mart
     sql["report_mart"] = oracle.stage_sql("cloned")
+    queries["publish_report"] = publish_report
+    sql["publish_report"] = oracle.stage_sql("cloned")
     for key, fn in primitives.QUERIES.items():
         queries[key] = fn
         if key in primitives.ORACLE:

@@ -29,15 +29,20 @@ class _Done(Exception):
     pass
 
 
+# Frames written once and read back by their consumers (see report_stages).
+CUT_AT = ("feed", "families", "ci_index", "named", "sector", "report")
+
+
 def report_stages(inputs: ReportInputs, cfg: ReportConfig,
                   dedupe_each_step: bool = True,
                   materialise: Callable[[DataFrame], DataFrame] | None = stage_to_parquet,
-                  upto: str | None = None) -> dict[str, DataFrame]:
+                  upto: str | None = None,
+                  cut_at: tuple[str, ...] = CUT_AT) -> dict[str, DataFrame]:
     """Intermediate frames by name, built up to and including ``upto``.
 
-    ``materialise`` is applied where a frame feeds several consumers (the
-    pivoted metrics, the frame with index rows, peer names, sector rows, the
-    report):
+    ``materialise`` is applied (at ``cut_at``) where a frame feeds several
+    consumers (the reference feed, the pivoted metrics, the frame with index
+    rows, peer names, sector rows, the report):
     each is computed once into the shared checkpoint folder and read back,
     instead of every consumer re-running the whole upstream plan (the logical
     plan would otherwise double with every reuse).  The frame returned for
@@ -52,7 +57,7 @@ def report_stages(inputs: ReportInputs, cfg: ReportConfig,
         s[name] = df
         if name == upto:
             raise _Done
-        if cut:
+        if cut and name in cut_at:
             s[name] = m(df)
         return s[name]
 
@@ -60,7 +65,7 @@ def report_stages(inputs: ReportInputs, cfg: ReportConfig,
         # Reference feed, unpivoted benchmarks, special-fund rows
         # (independent of the staging branch, so built first).
         feed = put("feed", benchmark.load_reference(inputs.main_feed, inputs.share_feed,
-                                                    names.special_fund))
+                                                    names.special_fund), cut=True)
         bench = put("bench", reshape.unpivot_benchmarks(feed))
         special = put("special", benchmark.special_rows(bench, names.special_fund,
                                                         names.special_report))

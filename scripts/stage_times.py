@@ -10,7 +10,9 @@ def main():
     last = int(sys.argv[2]) if len(sys.argv) > 2 else 40
     stages, jobs = {}, {}
     import glob, os
-    files = sorted(glob.glob(os.path.join(path, "*"))) if os.path.isdir(path) else [path]
+    files = [path]
+    while os.path.isdir(files[0]):
+        files = sorted(glob.glob(os.path.join(files[0], "*")))
     lines = (ln for f in files for ln in open(f))
     for line in lines:
         d = json.loads(line)
