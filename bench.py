@@ -19,13 +19,14 @@ from perfmart.plans.catalog import QUERIES  # noqa: E402
 from perfmart.session import get_session  # noqa: E402
 
 HEADLINE = (
-    "report_mart",        # whole report C1-C28
-    "pivot_sum",          # C1-C7: recode + 26-key pivot
-    "latest_per_key",     # C9-C10: report date + newest row per 20 keys
-    "category_fallback",  # C17-C18: self-join on category
-    "sector_fanout",      # C19-C23: LIKE join as equi-join
-    "propagate_dates",    # C24
-    "unpivot_columns",    # C13
+    "report_mart",        # the whole job, C1-C28 (all later steps run inside it)
+    "pivot_sum",          # C1-C7 alone: recode + distinct + 26-key pivot
+    "latest_per_key",     # C1-C10: + report date + newest row per 20 keys
+    "unpivot_columns",    # C11+C13: reference feed to long periods
+    "dedup_subset",       # A6 on lineitem: deterministic row per key
+    "unpivot_measures",   # C13 operator on lineitem (4 measures)
+    "join_left_multi",    # J2 on orders x lineitem aggregate
+    "group_sum",          # A3 on lineitem
 )
 
 

@@ -20,9 +20,13 @@ def get_session(master: str | None = None, app: str = "perfmart",
                 shuffle_partitions: int | None = None) -> SparkSession:
     """Session for tests and the local bench.
 
-    On a cluster the submitter's session is reused as is (``getOrCreate``
-    returns it); the options below only fill in what is unset.
+    An active session (a cluster job's) is returned untouched: its partition
+    counts, memory and checkpoint folder are the cluster's, not ours.
     """
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ensure_checkpoint_dir(active)
+        return active
     cpus = os.environ.get("BENCH_CPUS", "8")
     builder = (
         SparkSession.builder.master(master or f"local[{cpus}]")
