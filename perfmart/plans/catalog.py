@@ -72,6 +72,17 @@ def report_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  upto="cloned")["cloned"])
 
 
+def report_mart_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole report with the production schema: 53 pivot keys, 45 window
+    keys, 57 output columns with the three shortened names."""
+    from perfmart.config import ESG_ATTRIBUTES
+    from perfmart.sources.standins import FULL_CONFIG
+
+    inputs = standin_inputs(spark, sf_dir, csv=True, attributes=ESG_ATTRIBUTES)
+    return doubles(report_stages(inputs, FULL_CONFIG, dedupe_each_step=False,
+                                 upto="cloned")["cloned"])
+
+
 def publish_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C29 on the real report: build, publish the snapshot slice into a
     date-partitioned table under the shared scratch folder (twice: the
@@ -117,6 +128,9 @@ def _build() -> tuple[dict[str, Query], dict[str, str]]:
                  "THEN 'IA SECTOR' ELSE groupInvestment END AS groupInvestment) FROM named")
     queries["report_mart"] = report_mart
     sql["report_mart"] = oracle.stage_sql("cloned")
+    queries["report_mart_full"] = report_mart_full
+    from perfmart.sources.standins import FULL_SCHEMA
+    sql["report_mart_full"] = oracle.stage_sql("cloned", schema=FULL_SCHEMA)
     queries["publish_report"] = publish_report
     sql["publish_report"] = oracle.stage_sql("cloned")
     for key, fn in primitives.QUERIES.items():

@@ -33,6 +33,13 @@ def _cols(cols) -> str:
 
 _WEEK = "cast(date_trunc('week', e.ts) AS DATE)"
 
+def _standin_ctes(extra_attributes=()) -> str:
+    extra = "".join(
+        f",\n    'v' || cast((f.n_nationkey + {i}) % 5 AS VARCHAR) AS {q(a)}"
+        for i, a in enumerate(extra_attributes))
+    return STANDIN_CTES.replace("/*EXTRA*/", extra)
+
+
 STANDIN_CTES = f"""
 fund AS (
   SELECT c.c_custkey, c.c_name, n.n_nationkey, n.n_name, r.r_regionkey, r.r_name, c.c_acctbal,
@@ -86,7 +93,7 @@ staging AS (
     cast(e.value AS DECIMAL(18,2)) AS metricValue,
     'Article ' || cast(f.n_nationkey % 3 + 6 AS VARCHAR) AS EuSfdrFundType,
     f.r_name AS GlobalCategory,
-    cast(f.c_custkey % 7 AS VARCHAR) AS "PAI_Non_Renewable_%_Energy_Consumption_Average_Value",
+    cast(f.c_custkey % 7 AS VARCHAR) AS "PAI_Non_Renewable_%_Energy_Consumption_Average_Value"/*EXTRA*/,
     'feed_' || cast({_WEEK} AS VARCHAR) AS sourceFileName
   FROM events e JOIN fund f ON e.user_id = f.c_custkey),
 weekly AS (
@@ -134,16 +141,16 @@ def _family(prefix: str) -> str:
     return "coalesce(" + ", ".join(q(m) for m in members) + ")"
 
 
-def _with_date_order() -> list[str]:
-    keys = SCHEMA.pivot_keys
+def _with_date_order(schema) -> list[str]:
+    keys = schema.pivot_keys
     order = ["sourceFileName", "reportName"] + [k for k in keys if k not in ("sourceFileName", "reportName")]
     order += _metric_cols() + [o for o, _ in C.METRIC_FAMILIES] + ["date"]
     return order
 
 
-def _tiebreak() -> str:
-    wk = set(SCHEMA.window_keys)
-    cols = [c for c in _with_date_order() if c not in wk and c != "calculationDate"]
+def _tiebreak(schema) -> str:
+    wk = set(schema.window_keys)
+    cols = [c for c in _with_date_order(schema) if c not in wk and c != "calculationDate"]
     return ", ".join(f"{q(c)} ASC NULLS FIRST" for c in cols)
 
 
@@ -173,14 +180,16 @@ def _initcap(col: str) -> str:
             f"lambda w: upper(w[1]) || w[2:]), ' ')")
 
 
-def _stage_ctes() -> str:
-    pivot_keys = _cols(SCHEMA.pivot_keys)
+def _stage_ctes(schema) -> str:
+    pivot_keys = _cols(schema.pivot_keys)
     sums = ",\n    ".join(
         f"cast(sum(CASE WHEN metricType = {s(m)} THEN metricValue END) AS DOUBLE) AS {q(m)}"
         for m in STANDIN_METRICS)
     families = ",\n    ".join(f"{_family(p)} AS {q(o)}" for o, p in C.METRIC_FAMILIES)
-    window = _cols(SCHEMA.window_keys)
-    out_cols = _cols(SCHEMA.output_columns(N.flag_col))
+    window = _cols(schema.window_keys)
+    out_cols = _cols(schema.output_columns(N.flag_col))
+    renames = ", ".join(f"{q(a)} AS {q(b)}" for a, b in schema.renames)
+    rename = f" RENAME ({renames})" if renames else ""
     bench = "\n  UNION ALL ".join(
         f"SELECT isin, Cod, Lib, DevCot, Dat, IsPartPrinc, {s(lbl)} AS periodType, {src} AS \"return\", "
         f"Dat AS periodStartDate, Dat AS date FROM feed" for src, lbl in C.BENCH_PERIODS)
@@ -247,7 +256,7 @@ with_date AS (
 dated AS (
   SELECT * FROM with_date
   QUALIFY row_number() OVER (PARTITION BY {window}
-    ORDER BY calculationDate DESC NULLS LAST, {_tiebreak()}) = 1),
+    ORDER BY calculationDate DESC NULLS LAST, {_tiebreak(schema)}) = 1),
 feed AS (
   SELECT *, CAST(NULL AS INTEGER) AS IsPartPrinc FROM main_feed
   UNION ALL BY NAME
@@ -338,7 +347,7 @@ report AS (
   SELECT DISTINCT * REPLACE (
     CASE WHEN groupInvestment LIKE {s('%' + C.INDEX_SUFFIX)} OR groupInvestment = {s(N.special_fund)}
       THEN "return" * 100 ELSE "return" END AS "return",
-    {_initcap('reportName')} AS reportName)
+    {_initcap('reportName')} AS reportName){rename}
   FROM projected),
 snap AS (
   SELECT max(date) AS d FROM report
@@ -353,7 +362,10 @@ _AS_DOUBLE = {"staging", "cleaned", "scoped", "relabelled", "reassigned", "norma
               "filtered", "prepared"}
 
 
-def stage_sql(stage: str, select: str | None = None) -> str:
+def stage_sql(stage: str, select: str | None = None, schema=SCHEMA) -> str:
+    """SQL of one step; ``schema`` other than the stand-in one (e.g. the full
+    production attribute list) adds nation-level attribute columns."""
     body = select or (f"SELECT * REPLACE (cast(metricValue AS DOUBLE) AS metricValue) FROM {stage}"
                       if stage in _AS_DOUBLE else f"SELECT * FROM {stage}")
-    return f"WITH {STANDIN_CTES},{_stage_ctes()}\n{body}"
+    extra = [a for a in schema.attributes if a not in SCHEMA.attributes]
+    return f"WITH {_standin_ctes(extra)},{_stage_ctes(schema)}\n{body}"

@@ -43,6 +43,10 @@ STANDIN_SCHEMA = ReportSchema(
     metrics=STANDIN_METRICS,
 )
 STANDIN_CONFIG = ReportConfig(names=STANDIN_NAMES, schema=STANDIN_SCHEMA)
+# The production schema (all 36 attributes, 57 output columns, shortened names)
+# on the same stand-in data.
+FULL_SCHEMA = ReportSchema(metrics=STANDIN_METRICS)
+FULL_CONFIG = ReportConfig(names=STANDIN_NAMES, schema=FULL_SCHEMA)
 
 STAGING_FIELDS = ("morningstarRatingOverall", "currency", "calculatedOn", "exportedOn",
                   "scopeName", "isin", "groupInvestment", "peerGroup", "metricPeriodType",
@@ -101,7 +105,10 @@ def fund_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def staging_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+def staging_envelope(spark: SparkSession, sf_dir: str,
+                     attributes: tuple[str, ...] = STANDIN_ATTRIBUTES) -> DataFrame:
+    """``attributes`` beyond the three stand-in ones (e.g. the full production
+    list) are filled with nation-level labels, so they never split a group."""
     e = table(spark, sf_dir, "events")
     f = fund_frame(spark, sf_dir)
     d = e.join(f, e.user_id == f.c_custkey)
@@ -148,9 +155,12 @@ def staging_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
         "GlobalCategory": F.col("r_name"),
         "PAI_Non_Renewable_%_Energy_Consumption_Average_Value": (F.col("c_custkey") % 7).cast("string"),
     }
+    for i, name in enumerate(a for a in attributes if a not in cols):
+        cols[name] = F.concat(F.lit("v"), ((F.col("n_nationkey") + i) % 5).cast("string"))
     flat = d.select(*[v.alias(k) for k, v in cols.items()],
                     F.concat(F.lit("feed_"), week.cast("string")).alias("sourceFileName"))
-    return wrap(flat, STAGING_FIELDS, ["sourceFileName"])
+    fields = [*STAGING_FIELDS, *[a for a in attributes if a not in STAGING_FIELDS]]
+    return wrap(flat, fields, ["sourceFileName"])
 
 
 def _weekly_house(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,10 +226,11 @@ class ReportInputs:
     transco: DataFrame       # (name, IA Sector) strings
 
 
-def standin_inputs(spark: SparkSession, sf_dir: str, csv: bool = False) -> ReportInputs:
+def standin_inputs(spark: SparkSession, sf_dir: str, csv: bool = False,
+                   attributes: tuple[str, ...] = STANDIN_ATTRIBUTES) -> ReportInputs:
     weekly = _weekly_house(spark, sf_dir)
     return ReportInputs(
-        staging=staging_envelope(spark, sf_dir),
+        staging=staging_envelope(spark, sf_dir, attributes),
         main_feed=main_feed_envelope(spark, sf_dir, weekly),
         share_feed=share_feed_envelope(spark, sf_dir, weekly=weekly),
         transco=transco_csv(spark, sf_dir) if csv else transco_frame(spark, sf_dir),

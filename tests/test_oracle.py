@@ -13,7 +13,7 @@ from scripts.check_oracle import TABLES, digest
 
 from conftest import SF001
 
-SAMPLE = {"report_mart", "pivot_sum", "latest_per_key", "category_fallback", "sector_fanout",
+SAMPLE = {"report_mart", "report_mart_full", "pivot_sum", "latest_per_key", "category_fallback", "sector_fanout",
           "propagate_dates", "index_rows"}
 KEYS = [k for k in QUERIES if k in ORACLE and (
     os.environ.get("PERFMART_FULL_ORACLE") or k in SAMPLE or k in primitives.QUERIES)]
