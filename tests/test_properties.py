@@ -57,3 +57,13 @@ def test_peer_codes_are_taken_before_relabelled_copies(spark):
                            "startDate": F.lit(None).cast("date"), "endDate": F.lit(None).cast("date")})
     out = recode.prepare_staging(raw)
     assert out.where("peersValue = 'CS' AND periodType = 'CGC'").count() == 1
+
+
+def test_ragged_union_counts_add_up(spark):
+    from perfmart.operators import benchmark
+    a = spark.range(5).withColumn("x", F.lit("a"))
+    b = spark.range(3).withColumn("y", F.lit(1.0))
+    c = spark.range(2)
+    out = benchmark.append_ragged(a, b, c)
+    assert out.count() == 10 and set(out.columns) == {"id", "x", "y"}
+    assert out.where(F.col("x").isNull()).count() == 5
