@@ -141,7 +141,10 @@ def contains_pairs(texts: DataFrame, text_col: str, patterns: DataFrame, pattern
                   for k in range(1, gram + 1)])).alias("__g"))
               .where(F.col("__g").isNotNull()))
     empty = t.select("__t", "__s", F.lit("").alias("__g"))
-    tg = grams.unionByName(empty).distinct()
+    # No distinct on the (text, gram) rows: a gram repeated inside one text only
+    # yields a repeated candidate, removed by the final distinct on the small
+    # matched pairs, instead of a shuffle of every gram.
+    tg = grams.unionByName(empty)
     p = (patterns.select(F.col(pattern_col).alias("__p")).where(F.col("__p").isNotNull()).distinct()
                  .withColumn("__g", F.substring(F.col("__p"), 1, gram)))
     return (tg.join(p, "__g")

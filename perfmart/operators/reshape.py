@@ -14,11 +14,19 @@ def _q(name: str):
     return F.col(f"`{name}`")
 
 
-def discover_values(df: DataFrame, column: str) -> list[str]:
+MAX_PIVOT_VALUES = 10_000   # the limit Spark's own pivot applies (spark.sql.pivotMaxValues)
+
+
+def discover_values(df: DataFrame, column: str, max_values: int = MAX_PIVOT_VALUES) -> list[str]:
     """Distinct non-null values of a label column, sorted (what ``pivot``
-    without values would find).  One small job returning names, not data;
-    production configs pass the list explicitly and skip it."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().collect()
+    without values would find).  One small job returning names, not data, and
+    refused beyond ``max_values``; production configs pass the list explicitly
+    and skip it."""
+    rows = (df.select(column).where(F.col(column).isNotNull()).distinct()
+              .limit(max_values + 1).collect())
+    if len(rows) > max_values:
+        raise ValueError(f"more than {max_values} distinct values in {column!r}; "
+                         "pass the pivot values explicitly")
     return sorted(r[0] for r in rows)
 
 
