@@ -65,7 +65,7 @@ def report_stages(inputs: ReportInputs, cfg: ReportConfig,
         # Reference feed, unpivoted benchmarks, special-fund rows
         # (independent of the staging branch, so built first).
         feed = put("feed", benchmark.load_reference(inputs.main_feed, inputs.share_feed,
-                                                    names.special_fund), cut=True)
+                                                    names.special_fund))
         bench = put("bench", reshape.unpivot_benchmarks(feed))
         special = put("special", benchmark.special_rows(bench, names.special_fund,
                                                         names.special_report))
@@ -86,6 +86,12 @@ def report_stages(inputs: ReportInputs, cfg: ReportConfig,
         # Report date, newest calculation per key.
         with_date = put("with_date", snapshot.attach_report_date(families))
         dated = put("dated", snapshot.latest_calculation(with_date, schema.window_keys))
+        # The feed has several consumers from here on: cut it now (only the
+        # queries that go this far pay for it), then rebuild its two views.
+        if "feed" in cut_at:
+            feed = m(feed)
+            bench = reshape.unpivot_benchmarks(feed)
+            special = benchmark.special_rows(bench, names.special_fund, names.special_report)
         # Flag, index rows, ragged append.
         flagged = put("flagged", benchmark.membership_flag(dated, feed, names.flag_col))
         index = put("index", benchmark.index_rows(flagged, bench, names.flag_col, distinct=d))
