@@ -1,14 +1,15 @@
-"""The report as one lazy plan: staging -> ... -> published slice.
+"""The report as a chain of lazy plans: staging -> ... -> published slice,
+joined at a few materialised cut points.
 
 ``report_stages`` returns every intermediate frame by name, so each step
 can be queried and checked on its own.
 
 Duplicates: the job's contract is a *distinct* published table.  Every step
-after the pivot is a filter, projection, join, union or generator, all of
-which commute with ``distinct``, so with ``dedupe_each_step=False`` (the
-default for the full report) one final ``distinct`` replaces the seven
-intermediate ones, each a full shuffle of wide rows.  Steps whose input
-size matters (lookups before a join) stay deduplicated either way.
+after the pivot is a filter, projection, join, union, generator or a
+duplicate-insensitive pick (newest row, smallest isin), so with
+``dedupe_each_step=False`` (used for the full report) one final ``distinct``
+replaces the seven intermediate ones, each a full shuffle of wide rows.
+Lookups that feed a join stay deduplicated either way.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from perfmart.config import ReportConfig
 from perfmart.operators import benchmark, peers, periods, publish, recode, reshape, snapshot
 from perfmart.sources.envelope import flatten
-from perfmart.sources.files import cut_lineage, stage_to_parquet
+from perfmart.sources.files import stage_to_parquet
 from perfmart.sources.standins import ReportInputs
 
 
