@@ -53,3 +53,14 @@ def test_report_final_distinct_is_the_only_full_shuffle_of_rows(spark):
     inputs = standin_inputs(spark, SF001)
     p = plan(report_stages(inputs, STANDIN_CONFIG, dedupe_each_step=False, upto="report")["report"])
     assert p.count("Exchange hashpartitioning") <= 2   # final distinct + the small date table
+
+
+def test_registered_queries_read_whole_tables(spark):
+    """No row caps: no limit operator in any single-operator query or in the
+    whole report (the size-check collects run as their own small jobs)."""
+    from perfmart.plans import primitives
+    for key, fn in [*primitives.QUERIES.items(), ("report_mart", QUERIES["report_mart"])]:
+        p = plan(fn(spark, SF001))
+        # (WindowGroupLimit is the per-key newest-row pick, not a row cap)
+        for cap in ("GlobalLimit", "LocalLimit", "CollectLimit", "TakeOrderedAndProject", "Sample"):
+            assert cap not in p, (key, cap)
