@@ -186,7 +186,7 @@ FIELDS = "words bigint, spans array<struct<a:int,b:int,from:int,to:int>>, items
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                  block_words: int = BLOCK_WORDS) -> DataFrame:
+                  block_words: int = BLOCK_WORDS, carry: list[str] | None = None) -> DataFrame:
     """``row`` (the document) with its number of ``words``, the hit ``spans``
     (words [a, b), bytes [from, to)) and the matching ``items``.  The benchmark
     is a stated set tested against all documents block by block; each block's
@@ -211,7 +211,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
             return [np.diff(words.first), out, [sorted(x for x in i if x is not None) for i in items]]
         return fn
 
-    return annotate(docs, FIELDS, make)
+    return annotate(docs, FIELDS, make, carry=carry)
 
 
 def hit_words() -> Column:
@@ -239,7 +239,7 @@ def without_spans(text: Column, spans: Column) -> Column:
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text of ``documents`` against every ``benchmark`` item."""
     found = contamination(table(spark, sf_dir, "documents", "doc_id", "text"),
-                          table(spark, sf_dir, "benchmark", "item_id", "text"))
+                          table(spark, sf_dir, "benchmark", "item_id", "text"), carry=["doc_id"])
     return found.select(F.col("row.doc_id").alias("doc_id"), F.col("words").alias("n_words"),
                         hit_words().alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),

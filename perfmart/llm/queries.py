@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from perfmart.llm import decontaminate
+from perfmart.llm import decontaminate, pieces
 
 QUERIES = {
+    "op3_sentencepiece": pieces.op3_sentencepiece,
     "op9_decontaminate": decontaminate.op9_decontaminate,
 }
 ORACLE = {

@@ -26,13 +26,16 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def annotate(docs: DataFrame, fields: str, make: Callable[[], Callable[[list], list]],
-             text: str = "text") -> DataFrame:
+             text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """``docs`` packed in the struct column ``row`` (so no name can clash) with
     computed columns beside it.  ``make()`` runs once a task and returns a
-    function from a list of texts (bytes or None) to one list per field."""
+    function from a list of texts (bytes or None) to one list per field.
+    ``carry``: the columns that ``row`` keeps (default: all)."""
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     extra = StructType.fromDDL(fields)
-    schema = StructType([StructField("row", packed.schema["row"].dataType, False), *extra.fields])
+    whole = packed.schema["row"].dataType
+    kept = whole if carry is None else StructType([whole[c] for c in carry])
+    schema = StructType([StructField("row", kept, False), *extra.fields])
     from pyspark.sql.pandas.types import to_arrow_schema
     kinds = [f.type for f in to_arrow_schema(extra)]
     names = ["row", *extra.names]
@@ -43,8 +46,11 @@ def annotate(docs: DataFrame, fields: str, make: Callable[[], Callable[[list], l
             for part in slices(batch, text):
                 texts = text_bytes(part.column(0), text)
                 out = fn(texts)
+                row = part.column(0)
+                if carry is not None:
+                    row = pa.StructArray.from_arrays([pc.struct_field(row, [c]) for c in carry], names=carry)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *[pa.array(v, type=k) for v, k in zip(out, kinds, strict=True)]], names)
+                    [row, *[pa.array(v, type=k) for v, k in zip(out, kinds, strict=True)]], names)
 
     return packed.mapInArrow(run, schema)
 
