@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from perfmart.llm import decontaminate, pieces
+from perfmart.llm import decontaminate, pieces, token_counts
 
 QUERIES = {
     "op3_sentencepiece": pieces.op3_sentencepiece,
+    "op7_token_counts": token_counts.op7_token_counts,
     "op9_decontaminate": decontaminate.op9_decontaminate,
 }
 ORACLE = {
