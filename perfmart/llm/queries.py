@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from perfmart.llm import decontaminate, pieces, token_counts
+from perfmart.llm import decontaminate, language, pieces, token_counts
 
 QUERIES = {
     "op3_sentencepiece": pieces.op3_sentencepiece,
     "op7_token_counts": token_counts.op7_token_counts,
+    "op8_language": language.op8_language,
     "op9_decontaminate": decontaminate.op9_decontaminate,
 }
 ORACLE = {
