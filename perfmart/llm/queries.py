@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from perfmart.llm import decontaminate, language, pieces, token_counts
+from perfmart.llm import decontaminate, language, pieces, token_counts, url_filter
 
 QUERIES = {
     "op3_sentencepiece": pieces.op3_sentencepiece,
+    "op4_url_filter": url_filter.op4_url_filter,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_language": language.op8_language,
     "op9_decontaminate": decontaminate.op9_decontaminate,
 }
 ORACLE = {
+    "op4_url_filter": url_filter.ORACLE_OP4,
     "op9_decontaminate": decontaminate.ORACLE_OP9,
 }
