@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from perfmart.llm import decontaminate, language, pieces, token_counts, url_filter
+from perfmart.llm import decontaminate, language, pieces, spotsigs, token_counts, url_filter
 
 QUERIES = {
+    "op1_spotsigs": spotsigs.op1_spotsigs,
     "op3_sentencepiece": pieces.op3_sentencepiece,
     "op4_url_filter": url_filter.op4_url_filter,
     "op7_token_counts": token_counts.op7_token_counts,
@@ -12,6 +13,7 @@ QUERIES = {
     "op9_decontaminate": decontaminate.op9_decontaminate,
 }
 ORACLE = {
+    "op1_spotsigs": spotsigs.ORACLE_OP1,
     "op4_url_filter": url_filter.ORACLE_OP4,
     "op9_decontaminate": decontaminate.ORACLE_OP9,
 }
