@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from perfmart.llm import decontaminate, language, pieces, spotsigs, token_counts, url_filter
+from perfmart.llm import decontaminate, language, pieces, spotsigs, token_counts, url_filter, warc
 
 QUERIES = {
     "op1_spotsigs": spotsigs.op1_spotsigs,
     "op3_sentencepiece": pieces.op3_sentencepiece,
     "op4_url_filter": url_filter.op4_url_filter,
+    "op5_warc_revisits": warc.op5_warc_revisits,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_language": language.op8_language,
     "op9_decontaminate": decontaminate.op9_decontaminate,
@@ -15,5 +16,6 @@ QUERIES = {
 ORACLE = {
     "op1_spotsigs": spotsigs.ORACLE_OP1,
     "op4_url_filter": url_filter.ORACLE_OP4,
+    "op5_warc_revisits": warc.ORACLE_OP5,
     "op9_decontaminate": decontaminate.ORACLE_OP9,
 }
