@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from perfmart.llm import decontaminate, language, pieces, spotsigs, token_counts, url_filter, warc
+from perfmart.llm import decontaminate, language, ngram_join, pieces, spotsigs, token_counts, url_filter, warc
 
 QUERIES = {
     "op1_spotsigs": spotsigs.op1_spotsigs,
     "op3_sentencepiece": pieces.op3_sentencepiece,
     "op4_url_filter": url_filter.op4_url_filter,
     "op5_warc_revisits": warc.op5_warc_revisits,
+    "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_language": language.op8_language,
     "op9_decontaminate": decontaminate.op9_decontaminate,
@@ -17,5 +18,6 @@ ORACLE = {
     "op1_spotsigs": spotsigs.ORACLE_OP1,
     "op4_url_filter": url_filter.ORACLE_OP4,
     "op5_warc_revisits": warc.ORACLE_OP5,
+    "op6_ngram_join": ngram_join.ORACLE_OP6,
     "op9_decontaminate": decontaminate.ORACLE_OP9,
 }
