@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from perfmart.llm import decontaminate, language, ngram_join, pieces, spotsigs, token_counts, url_filter, warc
+from perfmart.llm import decontaminate, language, ngram_join, pieces, spotsigs, substrings, token_counts, url_filter, warc
 
 QUERIES = {
     "op1_spotsigs": spotsigs.op1_spotsigs,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_language": language.op8_language,
+    "op10_substring_dedup": substrings.op10_substring_dedup,
     "op9_decontaminate": decontaminate.op9_decontaminate,
 }
 ORACLE = {
@@ -19,5 +20,6 @@ ORACLE = {
     "op4_url_filter": url_filter.ORACLE_OP4,
     "op5_warc_revisits": warc.ORACLE_OP5,
     "op6_ngram_join": ngram_join.ORACLE_OP6,
+    "op10_substring_dedup": substrings.ORACLE_OP10,
     "op9_decontaminate": decontaminate.ORACLE_OP9,
 }
