@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from perfmart.llm import decontaminate, language, ngram_join, pieces, spotsigs, substrings, token_counts, url_filter, warc
+from perfmart.llm import (
+    decontaminate,
+    language,
+    ngram_join,
+    pieces,
+    spotsigs,
+    substrings,
+    token_counts,
+    toxicity,
+    url_filter,
+    warc,
+)
 
 QUERIES = {
     "op1_spotsigs": spotsigs.op1_spotsigs,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_sentencepiece": pieces.op3_sentencepiece,
     "op4_url_filter": url_filter.op4_url_filter,
     "op5_warc_revisits": warc.op5_warc_revisits,
