@@ -4,7 +4,6 @@ from perfmart.functions.labels import (  # noqa: F401
     category_average,
     is_own_period,
     map_lookup,
-    null_of,
     recode_in_scope,
     replace_all,
     strip_leading_label,

@@ -82,7 +82,3 @@ def category_average(group: str | Column, peer: str | Column, report: str | Colu
     for p in other_prefixes:
         inner = inner.when(group.startswith(p), base)
     return F.when(report != F.lit(exempt_report), inner.otherwise(group)).otherwise(group)
-
-
-def null_of(dtype: str) -> Column:
-    return F.lit(None).cast(dtype)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perfmart import config as C
-from perfmart.operators.relational import bounded_broadcast, min_per_key, union_all
+from perfmart.operators.relational import SALTS, min_per_key, union_all
 
 INDEX_KEYS = ("peersValue", "calculationDate", "exportDate", "reportCurrency",
               "reportName", "date")
@@ -27,12 +27,13 @@ def load_reference(main_envelope: DataFrame, share_envelope: DataFrame,
 
 
 def membership_flag(df: DataFrame, feed: DataFrame, flag_col: str) -> DataFrame:
-    """``flag_col`` = 1 when the row's isin occurs in the feed, else 0.  The
-    feed's isins (own share classes) are broadcast after a size check, so the
-    report rows are not shuffled by isin (a hot fund would make one task)."""
-    isins = bounded_broadcast(feed.select("isin").where(F.col("isin").isNotNull()).distinct()
-                              .withColumn(flag_col, F.lit(1)))
-    return df.join(isins, "isin", "left").na.fill(0, [flag_col])
+    """``flag_col`` = 1 when the row's isin occurs in the feed, else 0.  Rows
+    without an isin match nothing and are spread by a hash of the row."""
+    isins = (feed.select(F.col("isin").alias("__key")).where(F.col("__key").isNotNull()).distinct()
+                 .withColumn(flag_col, F.lit(1)))
+    lone = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(64 * SALTS)).cast("string"))
+    keyed = df.withColumn("__key", F.coalesce(F.col("isin"), lone))
+    return keyed.join(isins, "__key", "left").drop("__key").na.fill(0, [flag_col])
 
 
 def special_rows(bench: DataFrame, special_fund: str, special_report: str) -> DataFrame:
@@ -53,8 +54,8 @@ def index_rows(flagged: DataFrame, bench: DataFrame, flag_col: str,
     becomes ``peer + suffix`` with a null isin.  Rows without a benchmark
     return are dropped, so the join is an inner one."""
     picked = min_per_key(flagged.where(F.col(flag_col) == 1), list(INDEX_KEYS), "isin")
-    b = bounded_broadcast(bench.select("isin", "periodType", "periodStartDate", "return", "date")
-                          .where(F.col("return").isNotNull()))
+    b = (bench.select("isin", "periodType", "periodStartDate", "return", "date")
+              .where(F.col("return").isNotNull()))
     group = F.concat(F.col("peersValue"), F.lit(suffix))
     out = (picked.join(b, ["isin", "date"], "inner")
                  .withColumns({"groupInvestment": group,

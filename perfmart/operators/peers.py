@@ -9,17 +9,17 @@ from perfmart import config as C
 from perfmart.functions import category_average
 from perfmart.operators.relational import (
     anti_join,
-    bounded_broadcast,
     contains_join,
     except_values,
     min_per_key,
+    salted_join,
 )
 
-AVG_COL = "averagecat"
+AVG_COL = "categoryLabel"
 
 
 def category_label(df: DataFrame, exempt_report: str) -> DataFrame:
-    """Adds ``averagecat``: the peer's category-average label for EAA and
+    """Adds ``categoryLabel``: the peer's category-average label for EAA and
     Japan groups (hedged EAA groups keep their currency tail), else the group."""
     return df.withColumn(AVG_COL, category_average(
         "groupInvestment", "peersValue", "reportName", exempt_report,
@@ -33,23 +33,17 @@ def category_fallback(labelled: DataFrame, house_prefix: str, distinct: bool = T
     category, labelled ``peer Category Average`` (one null-attribute row when
     the category is no group).  Then the label replaces the group."""
     avg_text = C.CATEGORY_AVERAGE.strip()
-    with_avg = bounded_broadcast(
-        labelled.where(F.col(AVG_COL).contains(avg_text)).select("peersValue").distinct())
-    wanted = bounded_broadcast(
-        anti_join(labelled.where(F.col("groupInvestment").startswith(house_prefix)),
-                  with_avg, "peersValue")
-        .select("reportName", "peersValue", "morningstarCategory").distinct())
+    with_avg = labelled.where(F.col(AVG_COL).contains(avg_text)).select("peersValue").distinct()
+    wanted = anti_join(labelled.where(F.col("groupInvestment").startswith(house_prefix))
+                       .select("reportName", "peersValue", "morningstarCategory").distinct(),
+                       with_avg, "peersValue")
     donors = labelled.drop("peersValue", "reportName", "morningstarCategory", AVG_COL)
-    # Inner join of the donors (the broadcast side stays small) plus the wanted
-    # triples without any donor, instead of a left join that would have to
-    # stream the small side.
-    matched = wanted.join(donors, wanted["morningstarCategory"] == donors["groupInvestment"], "inner")
-    # Categories of ``wanted`` that occur as a group: a semi join against the
-    # small broadcast category list, so at most one row per wanted category
-    # leaves the donor scan (no distinct over all group labels).
-    categories = wanted.select(F.col("morningstarCategory").alias("__g")).distinct()
-    found = (donors.select(F.col("groupInvestment").alias("__g"))
-                   .join(F.broadcast(categories), "__g", "left_semi").distinct())
+    # Inner join of the donors plus the wanted triples without any donor,
+    # instead of a left join that would have to stream the small side.  Group
+    # labels are few, so the donors are salted.
+    matched = salted_join(donors, wanted.withColumn("groupInvestment", F.col("morningstarCategory"))
+                          .where(F.col("groupInvestment").isNotNull()), ["groupInvestment"])
+    found = donors.select(F.col("groupInvestment").alias("__g")).distinct()
     unmatched = anti_join(wanted, found, F.col("morningstarCategory") == F.col("__g"))
     borrowed = (matched.unionByName(unmatched, allowMissingColumns=True)
                       .withColumn(AVG_COL, F.concat(F.col("peersValue"), F.lit(C.CATEGORY_AVERAGE)))
@@ -61,10 +55,10 @@ def category_fallback(labelled: DataFrame, house_prefix: str, distinct: bool = T
 
 def attach_peer_name(df: DataFrame, feed: DataFrame, distinct: bool = True) -> DataFrame:
     """``peersLib`` := feed ``Lib`` of the feed rows whose ``Cod`` is the peer.
-    The lookup is made distinct before the join, so only distinct names fan out."""
-    names = bounded_broadcast(
-        feed.select(F.col("Cod").alias("__cod"), F.col("Lib").alias("peersLib")).distinct())
-    out = (df.join(names, F.col("peersValue") == F.col("__cod"), "left").drop("__cod"))
+    The lookup is made distinct before the join, so only distinct names fan out;
+    peer codes are few, so the join is salted."""
+    names = feed.select(F.col("Cod").alias("peersValue"), F.col("Lib").alias("peersLib")).distinct()
+    out = salted_join(df, names, ["peersValue"], "left").select(*df.columns, "peersLib")
     return out.distinct() if distinct else out
 
 
@@ -113,5 +107,5 @@ def peer_sectors(named: DataFrame, uncovered: DataFrame, transco: DataFrame) ->
 def sector_rows(named: DataFrame, peer_sector: DataFrame, distinct: bool = True) -> DataFrame:
     """Sector fan-out of the uncovered peers' sectors (rows already carry
     ``peersLib``), then the label collapse."""
-    fan = sector_fanout(named, bounded_broadcast(peer_sector), distinct=distinct)
+    fan = sector_fanout(named, peer_sector, distinct=distinct)
     return collapse_sector_label(named.unionByName(fan))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perfmart import config as C
+from perfmart.operators.relational import salted_join
 
 DATE_KEYS = ["date", "peersValue", "reportName", "reportCurrency", "periodType"]
 
@@ -21,13 +22,12 @@ def propagate_dates(df: DataFrame, distinct: bool = True) -> DataFrame:
     (date, peer, report, currency, period): one row per distinct date pair,
     null dates without a match.  Rows whose group is null or not synthetic are
     untouched and never join, so only the synthetic rows and a distinct
-    date table go through the shuffle."""
+    date table go through the shuffle; its keys are few, so it is salted."""
     syn = is_synthetic()
     base = df.where(~syn)
     dates = (base.select(*DATE_KEYS, F.col("periodStartDate").alias("__start"),
                          F.col("periodEndDate").alias("__end")).distinct())
-    synthetic = (df.where(syn).drop("periodStartDate", "periodEndDate")
-                   .join(dates, DATE_KEYS, "left")
+    synthetic = (salted_join(df.where(syn).drop("periodStartDate", "periodEndDate"), dates, DATE_KEYS, "left")
                    .withColumnsRenamed({"__start": "periodStartDate", "__end": "periodEndDate"})
                    .select(*df.columns))
     untouched = df.where(syn.isNull() | ~syn)

@@ -54,8 +54,11 @@ def clone_rows(df: DataFrame, rules: Sequence[C.CloneRule]) -> DataFrame:
 def publish_slice(df: DataFrame, path: str, partition_col: str = "date",
                   fmt: str = "parquet") -> str:
     """Replace the partitions present in ``df`` (one report date) and nothing
-    else: dynamic partition overwrite is atomic per partition and idempotent,
-    unlike a delete followed by an append."""
+    else.  Dynamic partition overwrite writes the new files first and then
+    swaps the partition's folder: repeating it is safe, but a crash between
+    removing the old folder and renaming the new one loses that date until the
+    job runs again.  Where readers must never see that, publish to a table
+    format with transactions (``fmt``).  An empty slice publishes nothing."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(partition_col).format(fmt).save(path))
     return path
@@ -69,5 +72,8 @@ def append_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = N
     out.write.jdbc(url, table, mode="append", properties=properties or {})
 
 
-def read_published(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+def read_published(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
+    """The published table; with ``schema``, also one to which nothing has been
+    published yet."""
+    reader = spark.read.format(fmt)
+    return (reader.schema(schema) if schema is not None else reader).load(path)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perfmart import config as C
-from perfmart.operators.relational import bounded_broadcast
+from perfmart.operators.relational import salted_join
 from perfmart.functions import (
     is_own_period,
     map_lookup,
@@ -111,15 +111,14 @@ def drop_foreign_labels(df: DataFrame, peers: DataFrame,
     """Remove rows whose period equals any peer code of ``peers`` (a one-column
     frame ``peersValue``) or contains ``marker``; a null period is kept.
 
-    The code set is small (one row per peer group) and is broadcast after a
-    size check: a shuffle join here would partition the whole staging table
-    by period label, a key with a handful of values."""
-    codes = bounded_broadcast(peers.select(F.col("peersValue").alias("__code")).distinct())
+    Period labels have a handful of values, so the join is salted."""
+    codes = (peers.select(F.col("peersValue").alias("metricPeriodType")).where(F.col("metricPeriodType").isNotNull())
+                  .distinct().withColumn("__code", F.lit(1)))
     # Left join on the distinct codes + "no match", i.e. an anti join whose
     # condition stays on the computed period column (an anti join would be
     # pushed below the projections, inlining the whole label expression).
-    kept = (df.join(codes, F.col("metricPeriodType") == F.col("__code"), "left")
-              .where(F.col("__code").isNull()).drop("__code"))
+    kept = (salted_join(df, codes, ["metricPeriodType"], "left")
+            .where(F.col("__code").isNull()).select(*df.columns))
     return kept.where(F.col("metricPeriodType").isNull()
                       | ~F.col("metricPeriodType").contains(marker))
 
@@ -141,12 +140,3 @@ def peer_codes(raw_staging: DataFrame) -> DataFrame:
     raw (not yet deduplicated) staging rows."""
     return scoped_recode(clean_labels(raw_staging)).select("peersValue").distinct()
 
-
-def prepare_staging(staging: DataFrame, raw_staging: DataFrame | None = None) -> DataFrame:
-    """C1 to C6 in order, then the report-level period columns.  The peer set of
-    the foreign-label filter is taken after the scoped recode and before the
-    relabelled copies (so copies do not add codes to it)."""
-    recoded = scoped_recode(clean_labels(staging))
-    codes = peer_codes(raw_staging if raw_staging is not None else staging)
-    relabelled = normalise_period(reassign_peer(duplicate_relabel(recoded)))
-    return copy_period_columns(drop_foreign_labels(relabelled, codes))

@@ -1,11 +1,9 @@
 """Generic relational building blocks used by the report operators.
 
-Each one is a plain DataFrame composition.  Broadcasts are never blind: a
-lookup is broadcast by ``bounded_broadcast`` only after a runtime row count
-proves it small (a config table with a handful of literal rows, or a
-one-row aggregate, is broadcast directly).  Everything else is left to the
-planner and AQE: a sort-merge join with skew splitting, turned into a
-broadcast hash join only when AQE measured the build side at runtime.
+Each one is a plain DataFrame composition.  Joins carry no broadcast hint
+unless a side has one row or holds configuration: the planner and AQE choose
+from measured bytes.  A lookup on a key with few values goes through
+``salted_join``, which spreads the rows of each value over several tasks.
 """
 
 from __future__ import annotations
@@ -49,20 +47,19 @@ def total_order(df: DataFrame, first: Sequence[Column], keys: Sequence[str]) ->
     return [*first, *[F.col(f"`{c}`").asc_nulls_first() for c in rest]]
 
 
-MAX_BROADCAST_ROWS = 200_000
+#: Tasks over which the rows of one key value are spread.
+SALTS = 16
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only once its size is proven: one small job fetches at
-    most ``max_rows + 1`` rows; if they fit, the join side becomes a broadcast
-    local table (the big side is then never shuffled by a low-cardinality key);
-    otherwise ``df`` is returned unchanged for a shuffle join, where AQE's skew
-    handling applies.  Use it on lookups derived from small or materialised
-    inputs, since the check computes ``df``."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+def salted_join(df: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner",
+                salts: int = SALTS) -> DataFrame:
+    """``df`` joined with a much smaller ``lookup`` on columns that may hold few
+    values (or many nulls): each row of ``df`` gets a salt from a hash of the
+    whole row, and each row of ``lookup`` is repeated for every salt, so no key
+    value is bound to one task.  ``how``: inner, left, left_semi or left_anti."""
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in orderable_columns(df)]), F.lit(salts)).cast("int")
+    spread = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return df.withColumn("__salt", salt).join(spread, [*on, "__salt"], how).drop("__salt")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str,
@@ -119,44 +116,32 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def contains_pairs(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_col: str,
-                   offset: int = 0, gram: int = 3) -> DataFrame:
+                   offset: int = 0) -> DataFrame:
     """Distinct (text, pattern) pairs where ``substring(text, offset + 1)``
     contains ``pattern`` literally.
 
-    A LIKE '%p%' join has no equality key; this one builds an exact one.  Each
-    distinct text emits the substrings of length 1..``gram`` at every position
-    (plus '' once), each pattern emits its first ``min(gram, len)`` characters.
-    Any text containing the pattern emits that key, so the equi-join on the key
-    followed by the real ``contains`` test loses nothing.  Both sides are
-    distinct labels, not rows, and the join is an ordinary shuffle or (after
-    AQE measured it) broadcast hash join - never a Cartesian product.
-    """
+    A LIKE '%p%' join has no equality key; this one builds an exact one.  The
+    lengths that occur among the patterns are one aggregated row; each distinct
+    text emits its substrings of those lengths, which join the patterns by
+    equality.  So a candidate is a match (repeated substrings apart), however
+    alike the patterns begin."""
+    p = patterns.select(F.col(pattern_col).alias("__p")).where(F.col("__p").isNotNull()).distinct()
+    lengths = p.agg(F.collect_set(F.length("__p")).alias("__ns")).withColumn("__one", F.lit(1))
     t = (texts.select(F.col(text_col).alias("__t")).where(F.col("__t").isNotNull()).distinct()
-              .withColumn("__s", F.substring(F.col("__t"), offset + 1, 1 << 30)))
-    n = F.length("__s")
-    pos = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    grams = (t.select("__t", "__s", F.explode(pos).alias("__i"))
-              .select("__t", "__s", F.explode(F.array(*[
-                  F.when(F.col("__i") + k <= n, F.substring(F.col("__s"), F.col("__i") + 1, k))
-                  for k in range(1, gram + 1)])).alias("__g"))
-              .where(F.col("__g").isNotNull()))
-    empty = t.select("__t", "__s", F.lit("").alias("__g"))
-    # No distinct on the (text, gram) rows: a gram repeated inside one text only
-    # yields a repeated candidate, removed by the final distinct on the small
-    # matched pairs, instead of a shuffle of every gram.
-    tg = grams.unionByName(empty)
-    p = (patterns.select(F.col(pattern_col).alias("__p")).where(F.col("__p").isNotNull()).distinct()
-                 .withColumn("__g", F.substring(F.col("__p"), 1, gram)))
-    return (tg.join(p, "__g")
-              .where(F.col("__s").contains(F.col("__p")))
-              .select(F.col("__t").alias(text_col), F.col("__p").alias(pattern_col))
-              .distinct())
+              .withColumn("__s", F.substring(F.col("__t"), offset + 1, 1 << 30)).withColumn("__one", F.lit(1)))
+    size = F.length("__s")
+    sized = (t.join(F.broadcast(lengths), "__one")    # one row
+              .select("__t", "__s", F.explode("__ns").alias("__n")).where(F.col("__n") <= size))
+    last = F.when(F.col("__n") == 0, F.lit(1)).otherwise(size - F.col("__n") + 1)
+    grams = (sized.select("__t", "__s", "__n", F.explode(F.sequence(F.lit(1), last)).alias("__i"))
+                  .select("__t", F.substring(F.col("__s"), F.col("__i"), F.col("__n")).alias("__p")))
+    return (grams.join(p, "__p").distinct()
+                 .select(F.col("__t").alias(text_col), F.col("__p").alias(pattern_col)))
 
 
 def contains_join(left: DataFrame, text_col: str, right: DataFrame, pattern_col: str,
-                  offset: int = 0, gram: int = 3) -> DataFrame:
+                  offset: int = 0) -> DataFrame:
     """``left JOIN right ON substring(text, offset+1) LIKE '%' || pattern || '%'``
-    (pattern taken literally), as two equi-joins through ``contains_pairs``.
-    The matching pairs are distinct labels: broadcast after a size check."""
-    pairs = bounded_broadcast(contains_pairs(left, text_col, right, pattern_col, offset, gram))
-    return left.join(pairs, text_col).join(right, pattern_col)
+    (pattern taken literally), as two equi-joins through ``contains_pairs``."""
+    pairs = contains_pairs(left, text_col, right, pattern_col, offset)
+    return salted_join(left, pairs.join(right, pattern_col), [text_col])

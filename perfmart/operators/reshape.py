@@ -14,18 +14,16 @@ def _q(name: str):
     return F.col(f"`{name}`")
 
 
-MAX_PIVOT_VALUES = 10_000   # the limit Spark's own pivot applies (spark.sql.pivotMaxValues)
-
-
-def discover_values(df: DataFrame, column: str, max_values: int = MAX_PIVOT_VALUES) -> list[str]:
+def discover_values(df: DataFrame, column: str) -> list[str]:
     """Distinct non-null values of a label column, sorted (what ``pivot``
     without values would find).  One small job returning names, not data, and
-    refused beyond ``max_values``; production configs pass the list explicitly
-    and skip it."""
+    refused beyond the session's ``spark.sql.pivotMaxValues``, as Spark's own
+    pivot does; configurations that pass the list skip it."""
+    most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
     rows = (df.select(column).where(F.col(column).isNotNull()).distinct()
-              .limit(max_values + 1).collect())
-    if len(rows) > max_values:
-        raise ValueError(f"more than {max_values} distinct values in {column!r}; "
+              .limit(most + 1).collect())
+    if len(rows) > most:
+        raise ValueError(f"more than {most} distinct values in {column!r} (spark.sql.pivotMaxValues); "
                          "pass the pivot values explicitly")
     return sorted(r[0] for r in rows)
 
@@ -43,14 +41,6 @@ def pivot_sum(df: DataFrame, keys: Sequence[str], pivot_col: str, value_col: str
     return df.groupBy(*[_q(k) for k in keys]).agg(*aggs)
 
 
-def pivot_builtin(df: DataFrame, keys: Sequence[str], pivot_col: str, value_col: str,
-                  values: Sequence[str] | None = None) -> DataFrame:
-    """The same result through ``GroupedData.pivot`` (kept for comparison)."""
-    g = df.groupBy(*[_q(k) for k in keys])
-    g = g.pivot(pivot_col, list(values)) if values is not None else g.pivot(pivot_col)
-    return g.sum(value_col)
-
-
 def coalesce_families(df: DataFrame, families=C.METRIC_FAMILIES,
                       skip: Sequence[str] = ()) -> DataFrame:
     """For each (output, prefix) the first non-null column whose name starts
@@ -66,6 +56,9 @@ def coalesce_families(df: DataFrame, families=C.METRIC_FAMILIES,
                     else F.lit(None).cast("double"))
     outs = {o.lower() for o in new}
     kept = [_q(c) for c in df.columns if c.lower() not in outs]
+    # the percentile is an output column of its own, whether or not the metric occurs
+    if C.PERCENTILE_METRIC not in df.columns:
+        kept.append(F.lit(None).cast("double").alias(C.PERCENTILE_METRIC))
     return df.select(*kept, *[v.alias(k) for k, v in new.items()])
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perfmart import config as C
-from perfmart.operators.relational import bounded_broadcast, latest_per_key
+from perfmart.operators.relational import latest_per_key, salted_join
 
 
 def attach_report_date(df: DataFrame, week_period: str = C.WEEK_PERIOD,
@@ -16,11 +16,10 @@ def attach_report_date(df: DataFrame, week_period: str = C.WEEK_PERIOD,
     """``date`` := end date of the ``week_period`` rows of the same file and
     report.  Rows of a (file, report) without such a row are dropped; several
     end dates fan the rows out.  The date table has one row per (file, report,
-    date): broadcast after a size check, never a shuffle of the rows by the
-    few (file, report) keys."""
+    date) and few keys, so the join is salted."""
     dates = (df.where((F.col("periodType") == week_period) & F.col("periodEndDate").isNotNull())
                .select(*on, F.col("periodEndDate").alias("date")).distinct())
-    return df.join(bounded_broadcast(dates), list(on), "inner")
+    return salted_join(df, dates, list(on)).select(*df.columns, "date")
 
 
 def latest_calculation(df: DataFrame, keys: Sequence[str],
@@ -42,6 +41,10 @@ def snapshot_slice(df: DataFrame, exclude_group_prefix: str) -> DataFrame:
     """Rows of the snapshot date.  The date comes from a global aggregate
     (exactly one row), joined back by equality: a broadcast of one row, no
     driver round trip, nothing published when the input is empty."""
-    snap = snapshot_date(df, exclude_group_prefix)
+    return on_date(df, snapshot_date(df, exclude_group_prefix))
+
+
+def on_date(df: DataFrame, snap: DataFrame) -> DataFrame:
+    """Rows of the date in the one-row frame ``snap``."""
     return (df.join(F.broadcast(snap), F.col("date") == F.col("snapshot_date"))
               .drop("snapshot_date"))

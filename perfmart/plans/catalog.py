@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from perfmart.operators import peers, reshape
 from perfmart.plans import oracle, primitives
-from perfmart.plans.report import doubles, report_stages
+from perfmart.plans.report import current_report, doubles, report_stages
 from perfmart.sources.standins import STANDIN_CONFIG, standin_inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,8 +68,7 @@ def report_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole report (C1-C28) as the job runs it: one final distinct, lineage
     cut at the reuse points, the transcoding table read from its CSV file."""
     inputs = standin_inputs(spark, sf_dir, csv=True)
-    return doubles(report_stages(inputs, STANDIN_CONFIG, dedupe_each_step=False,
-                                 upto="cloned")["cloned"])
+    return doubles(current_report(inputs, STANDIN_CONFIG))
 
 
 def report_mart_full(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,8 +78,7 @@ def report_mart_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     from perfmart.sources.standins import FULL_CONFIG
 
     inputs = standin_inputs(spark, sf_dir, csv=True, attributes=ESG_ATTRIBUTES)
-    return doubles(report_stages(inputs, FULL_CONFIG, dedupe_each_step=False,
-                                 upto="cloned")["cloned"])
+    return doubles(current_report(inputs, FULL_CONFIG))
 
 
 def publish_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +96,38 @@ def publish_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(back.select(*[c for c in back.columns if c != "date"], "date"))
 
 
+def report_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole report from stored envelopes: all three feeds are written as
+    ``{data: struct}`` Parquet to the shared scratch folder and read back."""
+    from perfmart.session import scratch_path
+    from perfmart.sources.envelope import read_table
+    from perfmart.sources.standins import ReportInputs
+
+    made = standin_inputs(spark, sf_dir, csv=True)
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, f"envelope-{name}")
+        df.write.parquet(path)
+        return read_table(spark, path)
+
+    inputs = ReportInputs(stored(made.staging, "staging"), stored(made.main_feed, "main"),
+                          stored(made.share_feed, "share"), made.transco)
+    return doubles(current_report(inputs, STANDIN_CONFIG))
+
+
+def stored_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 from storage: the share-level envelope written to the shared scratch
+    folder and read back; the filter on ``data.Lib`` reaches the scan."""
+    from perfmart.session import scratch_path
+    from perfmart.sources.envelope import flatten, read_table
+
+    path = scratch_path(spark, "envelope")
+    standin_inputs(spark, sf_dir).share_feed.write.parquet(path)
+    stored = read_table(spark, path)
+    found = stored.where(stored["data.Lib"].startswith(STANDIN_CONFIG.names.special_fund))
+    return flatten(found).select("isin", "Cod", "Lib", "Dat", "bench1W")
+
+
 def unpivot_structs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C13 through ``explode(array(struct))`` instead of ``unpivot``."""
     from perfmart import config as C
@@ -131,6 +161,11 @@ def _build() -> tuple[dict[str, Query], dict[str, str]]:
     queries["report_mart_full"] = report_mart_full
     from perfmart.sources.standins import FULL_SCHEMA
     sql["report_mart_full"] = oracle.stage_sql("cloned", schema=FULL_SCHEMA)
+    queries["report_from_files"] = report_from_files
+    sql["report_from_files"] = oracle.stage_sql("cloned")
+    queries["stored_reference"] = stored_reference
+    sql["stored_reference"] = oracle.stage_sql(
+        "feed", "SELECT isin, Cod, Lib, Dat, bench1W FROM feed WHERE IsPartPrinc IS NOT NULL")
     queries["publish_report"] = publish_report
     sql["publish_report"] = oracle.stage_sql("cloned")
     for key, fn in primitives.QUERIES.items():

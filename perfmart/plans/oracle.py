@@ -293,19 +293,19 @@ labelled AS (
             ELSE peersValue || ' Category Average' END
         WHEN groupInvestment LIKE 'Japan Fund%' THEN peersValue || ' Category Average'
         ELSE groupInvestment END
-      ELSE groupInvestment END AS averagecat
+      ELSE groupInvestment END AS categoryLabel
   FROM ci_index),
-with_average AS (SELECT DISTINCT peersValue FROM labelled WHERE averagecat LIKE '%Category Average%'),
+with_average AS (SELECT DISTINCT peersValue FROM labelled WHERE categoryLabel LIKE '%Category Average%'),
 wanted AS (
   SELECT DISTINCT reportName, peersValue, morningstarCategory FROM labelled l
   WHERE NOT EXISTS (SELECT 1 FROM with_average w WHERE w.peersValue = l.peersValue)
     AND groupInvestment LIKE {s(N.house_prefix + '%')}),
 borrowed AS (
-  SELECT d.* EXCLUDE (peersValue, reportName, morningstarCategory, averagecat),
-    w.reportName, w.peersValue, w.morningstarCategory, w.peersValue || ' Category Average' AS averagecat
+  SELECT d.* EXCLUDE (peersValue, reportName, morningstarCategory, categoryLabel),
+    w.reportName, w.peersValue, w.morningstarCategory, w.peersValue || ' Category Average' AS categoryLabel
   FROM wanted w LEFT JOIN labelled d ON w.morningstarCategory = d.groupInvestment),
 eaa AS (
-  SELECT DISTINCT * EXCLUDE (averagecat) REPLACE (averagecat AS groupInvestment)
+  SELECT DISTINCT * EXCLUDE (categoryLabel) REPLACE (categoryLabel AS groupInvestment)
   FROM (SELECT * FROM labelled UNION ALL BY NAME SELECT * FROM borrowed)),
 peer_names AS (SELECT DISTINCT Cod, Lib AS peersLib FROM feed),
 named AS (

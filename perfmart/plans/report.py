@@ -1,8 +1,11 @@
-"""The report as a chain of lazy plans: staging -> ... -> published slice,
-joined at a few materialised cut points.
+"""The report as a chain of plans: staging -> ... -> published slice, joined at
+a few cut points that are computed and written while the plan is built.
 
-``report_stages`` returns every intermediate frame by name, so each step
-can be queried and checked on its own.
+``report_stages`` returns every intermediate frame by name, over all dates, so
+each step can be queried and checked on its own.  ``current_report`` is the job:
+it takes the snapshot date as soon as the final labels are known and carries
+only that date through the wide steps after it; label sets (peers with an
+average, uncovered peers, sectors) still come from all dates.
 
 Duplicates: the job's contract is a *distinct* published table.  Every step
 after the pivot is a filter, projection, join, union, generator or a
@@ -21,8 +24,9 @@ from pyspark.sql import functions as F
 
 from perfmart.config import ReportConfig
 from perfmart.operators import benchmark, peers, periods, publish, recode, reshape, snapshot
+from perfmart.session import drop_paths, scratch_path
 from perfmart.sources.envelope import flatten
-from perfmart.sources.files import stage_to_parquet
+from perfmart.sources.files import parquet_roundtrip, stage_to_parquet
 from perfmart.sources.standins import ReportInputs
 
 
@@ -120,23 +124,42 @@ def report_stages(inputs: ReportInputs, cfg: ReportConfig,
     return s
 
 
-def build_report(inputs: ReportInputs, cfg: ReportConfig,
-                 materialise: Callable[[DataFrame], DataFrame] | None = stage_to_parquet) -> DataFrame:
-    """The distinct report table (all dates), before slicing."""
-    return report_stages(inputs, cfg, dedupe_each_step=False, materialise=materialise,
-                         upto="report")["report"]
+def current_report(inputs: ReportInputs, cfg: ReportConfig,
+                   materialise: Callable[[DataFrame], DataFrame] | None = stage_to_parquet) -> DataFrame:
+    """The distinct report rows of the snapshot date, with their clones."""
+    names, schema = cfg.names, cfg.schema
+    m = materialise or (lambda x: x)
+    s = report_stages(inputs, cfg, dedupe_each_step=False, materialise=materialise, upto="labelled",
+                      cut_at=("feed", "families", "ci_index"))
+    eaa = peers.category_fallback(s["labelled"], names.house_prefix, distinct=False)
+    # Later steps change labels only to the sector label, on rows that begin
+    # with the sector prefix (their dates count already) or by the collapse.
+    dates = peers.collapse_sector_label(eaa.select("date", "isin", "groupInvestment"))
+    current = snapshot.on_date(eaa, m(snapshot.snapshot_date(dates, names.special_fund)))
+    named = m(peers.attach_peer_name(current, s["feed"], distinct=False))
+    uncovered = peers.uncovered_peers(s["ci_index"])
+    peer_sector = peers.peer_sectors(eaa, uncovered, inputs.transco)
+    sector = m(peers.sector_rows(named, peer_sector, distinct=False))
+    dated = periods.propagate_dates(sector, distinct=False)
+    report = publish.scale_and_label(
+        publish.final_projection(dated, schema.output_columns(names.flag_col), distinct=False),
+        names.special_fund, schema.renames)
+    return publish.clone_rows(report, cfg.clones())
 
 
-def report_slice(report: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """Snapshot slice plus clones of an already built (ideally materialised) report."""
-    return publish.clone_rows(snapshot.snapshot_slice(report, cfg.names.special_fund), cfg.clones())
+def run_report(inputs: ReportInputs, cfg: ReportConfig, target: str) -> str:
+    """Build the report of the snapshot date, replace that date in ``target``,
+    and remove the run's cut points."""
+    spark, made = inputs.staging.sparkSession, []
 
+    def cut(df: DataFrame) -> DataFrame:
+        made.append(scratch_path(spark, "cut"))
+        return parquet_roundtrip(df, made[-1])
 
-def run_report(inputs: ReportInputs, cfg: ReportConfig, target: str) -> str:
-    """Build the report, cut its lineage (it is read twice: for the snapshot
-    date and for the slice), and replace the slice's date in ``target``."""
-    report = stage_to_parquet(build_report(inputs, cfg))
-    return publish.publish_slice(report_slice(report, cfg), target)
+    try:
+        return publish.publish_slice(current_report(inputs, cfg, cut), target)
+    finally:
+        drop_paths(spark, made)
 
 
 def doubles(df: DataFrame) -> DataFrame:

@@ -51,11 +51,14 @@ def get_session(master: str | None = None, app: str = "perfmart",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint directory, creating a local one only when
-    the session names none (tests, single-machine runs)."""
+    """Return the shared checkpoint directory.  Only a local session that names
+    none gets one on this machine (tests); on a cluster, executors would write
+    to their own disks, so a missing setting is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get(CHECKPOINT_CONF, None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="perfmart-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
     if not sc.getCheckpointDir():
@@ -68,3 +71,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     machine-local temp folder on a cluster)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/perfmart-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch folders, in whatever store they are."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)

@@ -20,13 +20,6 @@ def flatten(envelope: DataFrame, struct_col: str = "data", keep: Sequence[str] =
     return envelope.select(f"{struct_col}.*", *keep)
 
 
-def read_staging(envelope: DataFrame, distinct: bool = True) -> DataFrame:
-    """Latest staging rows, flattened, with the file they came from; exact
-    duplicate rows are removed before any metric is summed."""
-    out = flatten(envelope, "data", ["sourceFileName"])
-    return out.distinct() if distinct else out
-
-
 def wrap(df: DataFrame, fields: Sequence[str], keep: Sequence[str] = (), struct_col: str = "data") -> DataFrame:
     """Inverse of ``flatten``: pack ``fields`` into one struct column."""
     return df.select(F.struct(*[F.col(f"`{f}`") for f in fields]).alias(struct_col), *keep)

@@ -55,7 +55,9 @@ def test_peer_codes_are_taken_before_relabelled_copies(spark):
                            "calculatedOn": F.lit(None).cast("date"), "exportedOn": F.lit(None).cast("date"),
                            "inceptionDate": F.lit(None).cast("date"), "flowYTD": F.lit(None).cast("double"),
                            "startDate": F.lit(None).cast("date"), "endDate": F.lit(None).cast("date")})
-    out = recode.prepare_staging(raw)
+    recoded = recode.scoped_recode(recode.clean_labels(raw))
+    out = recode.normalise_period(recode.reassign_peer(recode.duplicate_relabel(recoded)))
+    out = recode.copy_period_columns(recode.drop_foreign_labels(out, recode.peer_codes(raw)))
     assert out.where("peersValue = 'CS' AND periodType = 'CGC'").count() == 1
 
 

@@ -100,7 +100,7 @@ def test_pivot_matches_builtin(spark):
                                 (None, "m2", 3.0), ("b", "m3", 4.0)],
                                "k string, metricType string, metricValue double")
     ours = reshape.pivot_sum(df, ["k"], "metricType", "metricValue", ["m1", "m2"])
-    builtin = reshape.pivot_builtin(df, ["k"], "metricType", "metricValue", ["m1", "m2"])
+    builtin = df.groupBy("k").pivot("metricType", ["m1", "m2"]).sum("metricValue")
     assert rows(ours, "k", "m1", "m2") == rows(builtin, "k", "m1", "m2")
     assert rows(ours, "k", "m1", "m2") == srt([("a", 3.0, None), (None, None, 3.0),
                                                   ("b", None, None)])
@@ -163,7 +163,7 @@ def test_category_label(spark):
                             ("5 - DCP", "CI", "EAA Fund X", "c", "i", 4),
                             ("1 - X", "CI", "Other", "c", "i", 5)])
     out = peers.category_label(df, "5 - DCP")
-    assert rows(out, "v", "averagecat") == [
+    assert rows(out, "v", "categoryLabel") == [
         (1, "CI Category Average EUR Hedged"), (2, "CI Category Average"),
         (3, "CI Category Average"), (4, "EAA Fund X"), (5, "Other")]
 
@@ -268,8 +268,87 @@ def test_contains_join_matches_brute_force(spark, texts, patterns):
     assert got == want
 
 
-def test_bounded_broadcast_falls_back(spark):
-    df = spark.range(10)
-    small = relational.bounded_broadcast(df, max_rows=20)
-    big = relational.bounded_broadcast(df, max_rows=5)
-    assert small.count() == 10 and big is df
+def test_contains_candidates_are_matches_however_alike_patterns_begin(spark):
+    """Patterns that share ten leading characters meet only the texts that hold them."""
+    t = spark.createDataFrame([(f"IA SAMEPREFIX{i:03d} Sector",) for i in range(60)], "g string")
+    p = spark.createDataFrame([(f"SAMEPREFIX{i:03d}",) for i in range(60)], "s string")
+    pairs = relational.contains_pairs(t, "g", p, "s", offset=2)
+    assert sorted(r.s for r in pairs.collect()) == [f"SAMEPREFIX{i:03d}" for i in range(60)]
+    joins = [x for x in pairs._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join" in x]
+    assert all("Contains" not in x for x in joins)  # equality decides, not a filter on candidates
+
+
+def test_salted_join_spreads_a_hot_key(spark):
+    """All rows under one key, and nulls: same rows as a plain join, many tasks."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(4000).select(F.when(F.col("id") % 5 > 0, F.lit("hot")).alias("k"), "id")
+        lookup = spark.createDataFrame([("hot", 1), ("hot", 2), ("other", 3)], "k string, v int")
+        for how in ("inner", "left"):
+            out = relational.salted_join(df, lookup, ["k"], how)
+            want = df.join(lookup, ["k"], how)
+            assert rows(out, "k", "id", "v") == rows(want, "k", "id", "v")
+        sizes = [r["count"] for r in relational.salted_join(df, lookup, ["k"], "left")
+                 .groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert max(sizes) < 0.6 * sum(sizes)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_metrics_by_discovery_without_percentile_rows(spark):
+    """No metric list and no percentile rows: the percentile is a typed null."""
+    df = spark.createDataFrame([("a", "Return (Cum)", 1.0), ("a", "Sharpe Ratio (1Y)", 2.0)], "k string, metricType string, metricValue double")
+    out = reshape.coalesce_families(reshape.pivot_sum(df, ["k"], "metricType", "metricValue"))
+    assert out.schema["Morningstar category percentile"].dataType.typeName() == "double"
+    assert out.first()["Morningstar category percentile"] is None and out.first()["return"] == 1.0
+
+
+def test_discovery_follows_the_session_limit(spark):
+    df = spark.range(6).select(F.col("id").cast("string").alias("m"))
+    assert reshape.discover_values(df, "m") == list("012345")
+    spark.conf.set("spark.sql.pivotMaxValues", "5")
+    try:
+        with pytest.raises(ValueError):
+            reshape.discover_values(df, "m")
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
+
+
+def test_scratch_is_refused_off_the_local_machine(monkeypatch):
+    from perfmart import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_empty_publish_can_be_read(spark, tmp_path):
+    df = spark.createDataFrame([], "v int, date date")
+    target = publish.publish_slice(df, str(tmp_path / "t"))
+    assert publish.read_published(spark, target, schema=df.schema).count() == 0
+
+
+def test_fixed_rule_values():
+    """Literal expectations, so that a wrong constant in the config shows."""
+    from perfmart import config as C
+    assert [(x.group, x.report_prefix, x.new_peer, x.new_group, x.skip_period) for x in C.default_clone_rules(C.HouseNames())] == [
+        ("CI Category Average", "1", "CHX", "CHX Category Average", C.SINCE_PM),
+        ("CI Category Average", "1", "CGC", "CGC Category Average", C.SINCE_PM),
+        ("CI Category Average", "1", "CFG", "CFG Category Average", C.SINCE_PM),
+        ("CFB Category Average", "1", "CCR", "CCR Category Average", C.SINCE_PM),
+        ("CCR Category Average", "3", "CFB", "CFB Category Average", C.SINCE_PM)]
+    schema = C.ReportSchema()
+    assert (len(schema.pivot_keys), len(schema.window_keys), len(schema.output_columns("flag"))) == (53, 45, 57)
+    assert C.PERCENTILE_METRIC == "Morningstar category percentile"
+    assert (C.INDEX_SUFFIX.strip(), C.CATEGORY_AVERAGE.strip(), C.IA_SECTOR) == ("Index", "Category Average", "IA SECTOR")
