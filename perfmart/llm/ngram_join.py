@@ -8,17 +8,25 @@ order of tokens.  Candidates must do so under three orders: rarest first (by a
 counting sketch of the corpus, ties by hash), and two by independent hashes.
 
 Equal sets are one class, represented by its smallest id.  Classes meet on
-their prefix tokens under the first order.  In each bucket of a token they are
-compared with one pivot, the set with the commonest tokens (the likely origin
-of a group of near copies), which joins most of the bucket in one linear step;
-only pairs of classes that are still in different components are then
-candidates of the second step.  So no link that matters to a component is lost,
-and large groups are not expanded into all their pairs.  Candidates of either
-step pass the two other orders and the length filter before their sets are
-compared exactly (by 64-bit shingle hashes).
+their prefix tokens under the first order.  So that large groups of near copies
+are not expanded into their pairs, each bucket of a token has a pivot, the set
+with the commonest tokens (the likely origin of the group):
+
+1. Every set of a bucket is compared with the pivot: one pair for a set.
+2. Sets near a pivot p differ from it by few tokens, D(x) = x without p and p
+   without x, and |x ^ y| = |D(x) ^ D(y)|.  If x is not linked with p, a link of
+   x and y needs common tokens of D(x) and D(y); so these meet on prefixes of
+   their differences, under one pivot, and are compared by their differences.
+3. What remains are pairs with a set that is not near its bucket's pivot: they
+   are candidates if their distances from the pivot allow a link (the size of
+   the symmetric difference is a metric) and they are in different components.
+
+Candidates of steps 1 and 3 pass the length filter and the two other orders
+before their sets are compared, exactly (by 63-bit shingle keys).  No link that
+matters to a component is lost.
 
 A null or wordless text has the empty set, which links with nothing.  Rows with
-one id are one node; a row with a null id is a component of its own (null).
+one id are one node; a row without an id has the component of its equals, or null.
 """
 
 from __future__ import annotations
@@ -34,7 +42,9 @@ from perfmart.llm.components import components, saved
 from perfmart.llm.sketch import count_sketch, id_filter
 from perfmart.llm.text import NOT_SPACE, Words, mix, slices, table, text_bytes
 
-SKETCH_BITS = 20
+SKETCH_BITS = 22
+#: A set is near a pivot up to this many times the distance of a link.
+NEAR = 3
 _ORDERS = (np.uint64(0x8CB92BA72F3D8DD7), np.uint64(0x2545F4914F6CDD1D))
 
 
@@ -65,6 +75,12 @@ def _firsts(doc: np.ndarray, key: np.ndarray, size: np.ndarray, wanted: np.ndarr
     return key[place < np.repeat(wanted, size)], np.concatenate([[0], np.cumsum(wanted)]).astype(np.int32)
 
 
+def rare_keys(h: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Tokens numbered in the first global order: by level, then by hash."""
+    depth = level[(h & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]
+    return (depth.astype(np.uint64) << np.uint64(55)) | (mix(h ^ np.uint64(0x9FB21C651E98DF25)) >> np.uint64(9))
+
+
 def _lists(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 
@@ -73,34 +89,38 @@ FEATURES = ("id bigint, n bigint, d1 bigint, d2 bigint, common float, "
             "rare array<bigint>, second array<int>, third array<int>")
 
 
-def features(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Set size, set digest, commonness and the three prefixes of each document."""
-    packed = docs.select(F.struct("id", "text").alias("row"))
-
+def commonness(docs: DataFrame, k: int):
+    """Levels of the corpus's shingles in a counting sketch (broadcast: its size is fixed)."""
     def hashes():
         def fn(batch: pa.RecordBatch) -> np.ndarray:
             found = [shingles(text_bytes(p.column(0), "text"), k)[1] for p in slices(batch, "text")]
             return np.concatenate(found) if found else np.zeros(0, np.uint64)
         return fn
 
-    level = count_sketch(packed, hashes, SKETCH_BITS)
+    level = count_sketch(docs.select(F.struct("id", "text").alias("row")), hashes, SKETCH_BITS)
+    return docs.sparkSession.sparkContext.broadcast(level)
+
+
+def features(docs: DataFrame, k: int, percent: int, shared) -> DataFrame:
+    """Set size, set digest, commonness and the three prefixes of each document."""
+    packed = docs.select(F.struct("id", "text").alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level = shared.value
         for batch in batches:
             for part in slices(batch, "text"):
                 rows = part.num_rows
                 doc, h = shingles(text_bytes(part.column(0), "text"), k)
                 size = np.bincount(doc, minlength=rows)
                 wanted = np.where(size > 0, size - (size * percent + 99) // 100 + 1, 0)
-                depth = level[(h & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]
-                m = mix(h ^ np.uint64(0x9FB21C651E98DF25))
+                key, m = rare_keys(h, level), mix(h ^ np.uint64(0x9FB21C651E98DF25))
                 sums = [np.zeros(rows, np.uint64), np.zeros(rows, np.uint64)]
                 start = np.concatenate([[0], np.cumsum(size)])[:-1][size > 0]
                 if len(h):
                     sums[0][size > 0] = np.add.reduceat(m, start)
                     sums[1][size > 0] = np.add.reduceat(mix(m), start)
-                common = np.bincount(doc, weights=depth, minlength=rows) / np.maximum(size, 1)
-                rare, offsets = _firsts(doc, (depth.astype(np.uint64) << np.uint64(55)) | (m >> np.uint64(9)), size, wanted)
+                common = np.bincount(doc, weights=key >> np.uint64(55), minlength=rows) / np.maximum(size, 1)
+                rare, offsets = _firsts(doc, key, size, wanted)
                 other = [_firsts(doc, mix(h * c) >> np.uint64(33), size, wanted)[0].astype(np.int32) for c in _ORDERS]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).field("id"), pa.array(size, pa.int64()), *[pa.array(s.view(np.int64)) for s in sums],
@@ -111,18 +131,21 @@ def features(docs: DataFrame, k: int, percent: int) -> DataFrame:
     return packed.mapInArrow(run, FEATURES)
 
 
-def shingle_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(id, s): the sorted shingle hashes of the documents in ``ids`` (id)."""
+def shingle_sets(docs: DataFrame, ids: DataFrame, k: int, shared) -> DataFrame:
+    """(id, s): the shingle keys, in order, of the documents in ``ids`` (id)."""
     packed = docs.where(F.col("id").isNotNull()).select(F.struct("id", "text").alias("row"))
     wanted = id_filter(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level = shared.value
         for batch in batches:
             batch = batch.filter(pa.array(wanted(batch.column(0).field("id").to_numpy(zero_copy_only=False))))
             for part in slices(batch, "text"):
                 doc, h = shingles(text_bytes(part.column(0), "text"), k)
+                key = rare_keys(h, level)
                 at = np.searchsorted(doc, np.arange(part.num_rows + 1))
-                yield pa.RecordBatch.from_arrays([part.column(0).field("id"), _lists(h.view(np.int64), at, pa.int64())], ["id", "s"])
+                key = key[np.lexsort((key, doc))]
+                yield pa.RecordBatch.from_arrays([part.column(0).field("id"), _lists(key.view(np.int64), at, pa.int64())], ["id", "s"])
 
     return packed.mapInArrow(run, "id bigint, s array<bigint>").join(ids, "id", "left_semi").dropDuplicates(["id"])
 
@@ -131,30 +154,76 @@ def _long_enough(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def links(pairs: DataFrame, docs: DataFrame, traits: DataFrame, k: int, percent: int) -> DataFrame:
-    """The linked ones of candidate ``pairs`` (a, b): those that pass the length
-    filter and the second and third order, then the exact comparison."""
+def compared(pairs: DataFrame, docs: DataFrame, traits: DataFrame, k: int, percent: int, shared) -> DataFrame:
+    """(a, b, s_a, s_b): the shingle keys of those ``pairs`` (a, b) that pass the
+    length filter and the second and third order."""
     def side(x: str) -> DataFrame:
         return traits.select(F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "second", "third")])
 
-    passed = (pairs.join(side("a"), "a").join(side("b"), "b")
-              .where(_long_enough(F.col("n_a"), F.col("n_b"), percent))
-              .where(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b"))
-              .select("a", "b").distinct())
-    passed = saved(passed, "candidates")
-    ids = passed.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = shingle_sets(docs, ids, k)
-    common = F.size(F.array_intersect("s_a", "s_b"))
+    passed = saved(pairs.join(side("a"), "a").join(side("b"), "b")
+                   .where(_long_enough(F.col("n_a"), F.col("n_b"), percent))
+                   .where(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b"))
+                   .select("a", "b").distinct(), "candidates")
+    ids = passed.select("a").unionByName(passed.select(F.col("b").alias("a"))).distinct().withColumnRenamed("a", "id")
+    sets = shingle_sets(docs, ids, k, shared)
     return (passed.join(sets.select(F.col("id").alias("a"), F.col("s").alias("s_a")), "a")
-                  .join(sets.select(F.col("id").alias("b"), F.col("s").alias("s_b")), "b")
-                  .where(common * 100 >= (F.size("s_a") + F.size("s_b") - common) * percent)
-                  .select("a", "b"))
+                  .join(sets.select(F.col("id").alias("b"), F.col("s").alias("s_b")), "b"))
+
+
+def _linked(difference: Column, sizes: Column, percent: int) -> Column:
+    """percent * union <= 100 * intersection, by the symmetric difference."""
+    return difference * (100 + percent) <= sizes * (100 - percent)
+
+
+def compare_with_pivots(stars: DataFrame, docs: DataFrame, traits: DataFrame, k: int, percent: int, shared) -> DataFrame:
+    """(id, pivot, n, np, d, linked, near, delta): each set's difference from its pivot."""
+    both = compared(stars.select(F.col("id").alias("a"), F.col("pivot").alias("b")), docs, traits, k, percent, shared)
+    n, np_ = F.size("s_a"), F.size("s_b")
+    found = both.select(F.col("a").alias("id"), F.col("b").alias("pivot"), "s_a", "s_b", n.alias("n"), np_.alias("np"),
+                        (n + np_ - 2 * F.size(F.array_intersect("s_a", "s_b"))).alias("d"))
+    near = F.col("d") * (100 + percent) <= (F.col("n") + F.col("np")) * (NEAR * (100 - percent))
+    return found.select("id", "pivot", "n", "np", "d", _linked(F.col("d"), F.col("n") + F.col("np"), percent).alias("linked"),
+                        near.alias("near"), F.when(near, F.array_sort(F.concat(
+                            F.array_except("s_a", "s_b"), F.array_except("s_b", "s_a")))).alias("delta"))
+
+
+def links_by_difference(star: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) under one pivot that a is not linked with (step 2)."""
+    near = star.where("near").join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    lone = near.where(~F.col("linked"))
+    all_ = near.join(lone.select("pivot").distinct(), "pivot", "left_semi")
+    # prefixes: of a, for partners of any distance; of b, for partners not linked with the pivot
+    most = F.floor(F.col("n") * (100 - percent) / percent).cast("int") + 1
+    need = F.ceil((F.col("d") * (100 + percent) + (F.col("np") - F.col("n")) * (100 - percent)) / (2 * (100 + percent)))
+    fewer = (F.col("d") - F.greatest(need, F.lit(1)) + 1).cast("int")
+
+    def side(rows: DataFrame, x: str, prefix: Column) -> DataFrame:
+        return rows.select("pivot", F.posexplode(F.slice("delta", 1, F.greatest(prefix, F.lit(0)))).alias(f"i_{x}", "t"),
+                           F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "d", "component")])
+
+    # Common tokens that a link needs, and those that can follow if this is the first one.
+    wanted = (F.col("d_a") + F.col("d_b")) * (100 + percent) - (F.col("n_a") + F.col("n_b")) * (100 - percent)
+    left = F.least(F.col("d_a") - F.col("i_a"), F.col("d_b") - F.col("i_b"))
+    met = saved(side(lone, "a", most).join(side(all_, "b", fewer), ["pivot", "t"])
+                .where((F.col("component_a") != F.col("component_b")) & _long_enough(F.col("n_a"), F.col("n_b"), percent)
+                       & (left * (2 * (100 + percent)) >= wanted))
+                .select("pivot", "a", "b").distinct(), "candidates")
+    delta = star.where("near").select("pivot", "id", "n", "d", "delta")
+
+    def own(x: str) -> DataFrame:
+        return delta.select("pivot", F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "d", "delta")])
+
+    difference = F.col("d_a") + F.col("d_b") - 2 * F.size(F.array_intersect("delta_a", "delta_b"))
+    return (met.join(own("a"), ["pivot", "a"]).join(own("b"), ["pivot", "b"])
+               .where(_linked(difference, F.col("n_a") + F.col("n_b"), percent)).select("a", "b").distinct())
 
 
 def linked_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """(id, n, component) of each row of ``docs`` (id, text)."""
-    found = saved(features(docs, k, percent), "shingle-features")
+    shared = commonness(docs, k)
+    found = saved(features(docs, k, percent, shared), "shingle-features")
     reps = found.where((F.col("n") > 0) & F.col("id").isNotNull()).groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"))
+    reps = saved(reps, "representatives")  # a plain table joins with hot keys split
     member = saved(found.select("id", "n", "d1", "d2").join(reps, ["n", "d1", "d2"], "left")
                         .select("id", "n", F.coalesce("rep", "id").alias("rep")), "members")
     own = member.where((F.col("id") == F.col("rep")) & (F.col("n") > 0)).select("id").distinct()
@@ -163,21 +232,29 @@ def linked_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
     tokens = traits.select("id", "n", "common", F.explode("rare").alias("t"))
     pivots = (tokens.groupBy("t").agg(F.count("*").alias("c"), F.min(F.struct(-F.col("common"), "id")).alias("p"))
                     .where(F.col("c") > 1).select("t", F.col("p.id").alias("pivot")))
-    buckets = saved(tokens.join(pivots, "t").select("t", "id", "n", "pivot"), "buckets")
-    stars = (buckets.where(F.col("id") != F.col("pivot"))
-                    .select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct())
-    first = saved(links(stars, docs, traits, k, percent), "star-links")
+    buckets = saved(tokens.join(pivots, "t").where(F.col("id") != F.col("pivot")).select("t", "id", "n", "pivot"), "buckets")
+    star = saved(compare_with_pivots(buckets.select("id", "pivot").distinct(), docs, traits, k, percent, shared), "stars")
+    first = star.where("linked").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
     joined = components(first)
-
-    placed = (buckets.join(joined, "id", "left")
-                     .select("t", "id", "n", "pivot", F.coalesce("component", "id").alias("component")))
-    open_tokens = placed.groupBy("t").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("t")
-    rest = saved(placed.where(F.col("id") != F.col("pivot")).join(open_tokens, "t", "left_semi"), "open-buckets")
-    left, right = (rest.select("t", F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("component").alias(f"c{x}")) for x in "ab")
-    pairs = (left.join(right, (left.t == right.t) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                       & _long_enough(F.col("na"), F.col("nb"), percent)).select("a", "b").distinct())
-    second = links(pairs, docs, traits, k, percent)
-    joined = components(first.unionByName(second))
+    second = saved(links_by_difference(star, joined, percent), "links-by-difference")
+
+    # Pairs with a set that is not near the pivot of their bucket (step 3).
+    placed = (buckets.join(joined, "id", "left").join(star.select("id", "pivot", "d", "near"), ["id", "pivot"], "left")
+                     .select("t", "id", "n", "d", F.coalesce("near", F.lit(False)).alias("near"),
+                             F.coalesce("component", "id").alias("component")))
+    open_tokens = (placed.groupBy("t").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("near").alias("all_near"))
+                         .where("x <> y AND NOT all_near").select("t"))
+    rest = saved(placed.join(open_tokens, "t", "left_semi"), "open-buckets")
+    left, right = (rest.select(F.col("t").alias(f"t{x}"), F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "d", "near", "component")])
+                   for x in "ab")
+    reach = (F.abs(F.col("d_a") - F.col("d_b")) * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
+    pairs = (left.where(~F.col("near_a")).join(
+        right, (F.col("ta") == F.col("tb")) & (F.col("near_b") | (F.col("a") < F.col("b"))) & (F.col("component_a") != F.col("component_b"))
+        & _long_enough(F.col("n_a"), F.col("n_b"), percent) & F.coalesce(reach, F.lit(True))).select("a", "b").distinct())
+    last = compared(pairs, docs, traits, k, percent, shared)
+    sizes = F.size("s_a") + F.size("s_b")
+    third = last.where(_linked(sizes - 2 * F.size(F.array_intersect("s_a", "s_b")), sizes, percent)).select("a", "b")
+    joined = components(first.unionByName(second).unionByName(third))
     return (member.join(joined.select(F.col("id").alias("rep"), "component"), "rep", "left")
                   .select("id", "n", F.coalesce("component", "rep").alias("component")))
 
