@@ -233,7 +233,7 @@ def without_spans(text: Column, spans: Column) -> Column:
         F.sequence(F.lit(0), F.size(spans)),
         lambda i: F.substring(binary, after(i) + 1, F.coalesce(F.get(spans, i)["from"], F.octet_length(binary)) - after(i)))
     return F.when(F.size(spans) == 0, text).otherwise(
-        F.decode(F.aggregate(keep, F.lit(b"").cast("binary"), lambda a, x: F.concat(a, x)), F.lit("UTF-8")))
+        F.decode(F.aggregate(keep, F.lit(b"").cast("binary"), lambda a, x: F.concat(a, x)), "UTF-8"))
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
