@@ -42,7 +42,7 @@ from perfmart.llm.text import NOT_SPACE, Words, mix, slices, table, text_bytes
 WINDOW = 50
 GRAM = 20
 #: Documents of one key from which its windows are dealt out one by one.
-SPLIT = 500
+SPLIT = 20_000
 #: Windows of one stretch at most (longer runs are cut, keeping every window).
 STRETCH = 128
 #: Words of one FM-index, unless one key has more.
