@@ -24,6 +24,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from perfmart.llm.components import saved
 from perfmart.llm.text import SLICE_BYTES, table
 from perfmart.session import scratch_path
 
@@ -170,8 +171,9 @@ def token_counts(docs: DataFrame, path: str, cache: str) -> DataFrame:
                     .join(stored.select("content"), "content", "left_anti")
                     .groupBy("content").agg(F.first("text").alias("text")))
     encode_misses(distinct, path, version).write.mode("append").parquet(cache)
-    counts = (cached(spark, cache).where(F.col("tokenizer") == version)
-              .groupBy("content").agg(F.max("tokens").alias("tokens")))
+    # written, so that both sides of the join are plain tables and a hot content is split
+    counts = saved(cached(spark, cache).where(F.col("tokenizer") == version)
+                   .groupBy("content").agg(F.max("tokens").alias("tokens")), "token-counts")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"),
                        F.octet_length(text).cast("bigint").alias("bytes"), F.sha2(text, 256).alias("content"))
     return rows.join(counts, "content").drop("content")
