@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from perfmart.llm.components import components, saved
@@ -86,7 +86,7 @@ def _lists(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Arr
 
 
 FEATURES = ("id bigint, n bigint, d1 bigint, d2 bigint, common float, "
-            "rare array<bigint>, second array<int>, third array<int>")
+            "rare array<bigint>, second array<smallint>, third array<smallint>")
 
 
 def commonness(docs: DataFrame, k: int):
@@ -102,7 +102,8 @@ def commonness(docs: DataFrame, k: int):
 
 
 def features(docs: DataFrame, k: int, percent: int, shared) -> DataFrame:
-    """Set size, set digest, commonness and the three prefixes of each document."""
+    """Set size, set digest, commonness and the three prefixes of each document
+    (of the two that only filter, 16 bits of each token)."""
     packed = docs.select(F.struct("id", "text").alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,11 +122,11 @@ def features(docs: DataFrame, k: int, percent: int, shared) -> DataFrame:
                     sums[1][size > 0] = np.add.reduceat(mix(m), start)
                 common = np.bincount(doc, weights=key >> np.uint64(55), minlength=rows) / np.maximum(size, 1)
                 rare, offsets = _firsts(doc, key, size, wanted)
-                other = [_firsts(doc, mix(h * c) >> np.uint64(33), size, wanted)[0].astype(np.int32) for c in _ORDERS]
+                other = [_firsts(doc, mix(h * c), size, wanted)[0].astype(np.uint16).view(np.int16) for c in _ORDERS]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).field("id"), pa.array(size, pa.int64()), *[pa.array(s.view(np.int64)) for s in sums],
                      pa.array(common, pa.float32()), _lists(rare.view(np.int64), offsets, pa.int64()),
-                     *[_lists(o, offsets, pa.int32()) for o in other]],
+                     *[_lists(o, offsets, pa.int16()) for o in other]],
                     ["id", "n", "d1", "d2", "common", "rare", "second", "third"])
 
     return packed.mapInArrow(run, FEATURES)
@@ -229,10 +230,10 @@ def linked_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
     own = member.where((F.col("id") == F.col("rep")) & (F.col("n") > 0)).select("id").distinct()
     traits = found.join(own, "id", "left_semi").dropDuplicates(["id"])
 
-    tokens = traits.select("id", "n", "common", F.explode("rare").alias("t"))
-    pivots = (tokens.groupBy("t").agg(F.count("*").alias("c"), F.min(F.struct(-F.col("common"), "id")).alias("p"))
-                    .where(F.col("c") > 1).select("t", F.col("p.id").alias("pivot")))
-    buckets = saved(tokens.join(pivots, "t").where(F.col("id") != F.col("pivot")).select("t", "id", "n", "pivot"), "buckets")
+    by_token = Window.partitionBy("t").orderBy(F.col("common").desc(), "id")  # the pivot comes first; one shuffle
+    buckets = saved(traits.select("id", "common", F.explode("rare").alias("t"))
+                    .select("t", "id", F.first("id").over(by_token).alias("pivot"), F.row_number().over(by_token).alias("k"))
+                    .where((F.col("k") > 1) & (F.col("id") != F.col("pivot"))).select("t", "id", "pivot"), "buckets")
     star = saved(compare_with_pivots(buckets.select("id", "pivot").distinct(), docs, traits, k, percent, shared), "stars")
     first = star.where("linked").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
     joined = components(first)
@@ -240,11 +241,11 @@ def linked_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
 
     # Pairs with a set that is not near the pivot of their bucket (step 3).
     placed = (buckets.join(joined, "id", "left").join(star.select("id", "pivot", "d", "near"), ["id", "pivot"], "left")
-                     .select("t", "id", "n", "d", F.coalesce("near", F.lit(False)).alias("near"),
+                     .select("t", "id", "d", F.coalesce("near", F.lit(False)).alias("near"),
                              F.coalesce("component", "id").alias("component")))
     open_tokens = (placed.groupBy("t").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("near").alias("all_near"))
                          .where("x <> y AND NOT all_near").select("t"))
-    rest = saved(placed.join(open_tokens, "t", "left_semi"), "open-buckets")
+    rest = saved(placed.join(open_tokens, "t", "left_semi").join(traits.select("id", "n"), "id"), "open-buckets")
     left, right = (rest.select(F.col("t").alias(f"t{x}"), F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "d", "near", "component")])
                    for x in "ab")
     reach = (F.abs(F.col("d_a") - F.col("d_b")) * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
