@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perfmart.llm import decontaminate, language, ngram_join, pieces, substrings, text
+from perfmart.llm import decontaminate, language, ngram_join, pieces, sketch, substrings, text
+from perfmart.llm.components import saved
 from perfmart.session import scratch_path
 
 #: Cosine below which a text is taken for no known language.
@@ -32,7 +33,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     id)."""
     found = ngram_join.linked_components(docs.select(F.col("doc_id").alias("id"), "text"), 5, 80)
     gone = found.where(F.col("component") < F.col("id")).select("id").distinct()
-    return docs.join(gone, docs["doc_id"] == gone["id"], "left_anti")
+    return sketch.without_ids(docs, "doc_id", saved(gone, "near-copies"))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

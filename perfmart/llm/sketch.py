@@ -57,6 +57,21 @@ def count_sketch(rows: DataFrame, make: Callable[[], Callable[[pa.RecordBatch],
     return level
 
 
+def without_ids(rows: DataFrame, column: str, gone: DataFrame) -> DataFrame:
+    """``rows`` whose ``column`` is not among ``gone`` (id).  Rows that the id
+    filter already clears stay where they are; only the others are joined."""
+    test = id_filter(gone)
+
+    @F.pandas_udf("boolean")
+    def maybe(x: pd.Series) -> pd.Series:
+        return pd.Series(test(x.fillna(0).to_numpy().astype(np.int64)))
+
+    suspect = F.col(f"`{column}`").isNotNull() & maybe(F.col(f"`{column}`").cast("bigint"))
+    ids = gone.select(F.col("id").alias("__gone"))
+    checked = rows.where(suspect).join(ids, F.col(f"`{column}`") == F.col("__gone"), "left_anti")
+    return rows.where(~suspect).unionByName(checked)
+
+
 def id_filter(ids: DataFrame, bits: int = 23) -> Callable[[np.ndarray], np.ndarray]:
     """A test that is true for each id of the one-column frame, and for few others."""
     from perfmart.llm.text import mix
