@@ -34,7 +34,7 @@ WORD_DIM, CHAR_DIM = 8, 16
 CHAR_BUCKETS = 1 << 14
 GRAMS = (3, 4, 5)
 #: Bounds of training: documents of each label, windows kept of each document, known words, steps.
-TRAIN_DOCS = 1500
+TRAIN_DOCS = 1200
 TRAIN_WINDOWS = 24
 VOCABULARY = 20_000
 STEPS = 250
@@ -303,10 +303,9 @@ def _fit(texts: list[bytes], toxic: np.ndarray, steps: int, seed: int, rng: np.r
     known = np.sort(often[spread[often] >= 3])  # words are sorted by hash
     net = Network.new(inputs.hash[known], seed)
     # the first dimension of both embeddings starts from how far documents with a word or n-gram are positive
-    lean = _lean(pairs // len(texts), toxic[pairs % len(texts)], len(inputs.hash))
+    lean = _lean(spread, np.bincount(pairs // len(texts), weights=toxic[pairs % len(texts)], minlength=len(inputs.hash)), toxic.mean())
     net.p["word"][1:, 0] += lean[known] / 4
-    holds = _gram_documents(inputs, pairs, len(texts))
-    net.p["char"][:, 0] += _lean(holds // len(texts), toxic[holds % len(texts)], CHAR_BUCKETS) / 4
+    net.p["char"][:, 0] += _lean(*_gram_counts(inputs, pairs, toxic), toxic.mean()) / 4
     doc, ids = windows(words, inputs.number)
     # a random few windows of each document
     order = np.lexsort((rng.random(len(doc)), doc))
@@ -336,26 +335,25 @@ def _fit(texts: list[bytes], toxic: np.ndarray, steps: int, seed: int, rng: np.r
     return net
 
 
-def _lean(item: np.ndarray, positive: np.ndarray, n: int) -> np.ndarray:
+def _lean(count: np.ndarray, hits: np.ndarray, share: float) -> np.ndarray:
     """Standard deviations by which the documents with an item are more often positive than all."""
-    share = positive.mean()
-    count = np.bincount(item, minlength=n)
-    hits = np.bincount(item, weights=positive, minlength=n)
     return ((hits - count * share) / np.sqrt(count * share * (1 - share) + 0.25)).astype(np.float32)
 
 
-def _gram_documents(inputs: Inputs, pairs: np.ndarray, texts: int) -> np.ndarray:
-    """Distinct (bucket, document), as one number, from (word, document)."""
-    word, doc = pairs // texts, pairs % texts
+def _gram_counts(inputs: Inputs, pairs: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Documents, and positive ones, of each n-gram bucket, from distinct (word, document)."""
+    word, doc = pairs // len(toxic), pairs % len(toxic)
     order = np.argsort(doc, kind="stable")
-    word, edge = word[order], np.searchsorted(doc[order], np.arange(texts + 1))
-    out = []
-    for d in range(texts):
+    word, edge = word[order], np.searchsorted(doc[order], np.arange(len(toxic) + 1))
+    count, hits = np.zeros(CHAR_BUCKETS), np.zeros(CHAR_BUCKETS)
+    for d in range(len(toxic)):
         w = word[edge[d]:edge[d + 1]]
-        count = inputs.count[w]
-        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(inputs.first[w], count)
-        out.append(np.unique(inputs.bucket[at]).astype(np.int64) * texts + d)
-    return np.concatenate(out)
+        size = inputs.count[w]
+        at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(inputs.first[w], size)
+        found = np.unique(inputs.bucket[at])
+        count[found] += 1
+        hits[found] += toxic[d]
+    return count, hits
 
 
 def _subset(inputs: Inputs, ids: np.ndarray) -> tuple[Inputs, np.ndarray]:
