@@ -179,7 +179,7 @@ def test_op8_held_out_accuracy(spark, tables):
     rng = random.Random(1)
     langs = [rng.choice(list(SYLLABLES)) for _ in range(150)]
     texts = [spoken(x, rng, rng.choice([5, 30, 80])) for x in langs] + [None, "", "123 !!", spoken("aa", rng, 30000)]
-    folder = tables(documents=(DOCUMENTS, documents(texts, dict(enumerate(langs)))))
+    folder = tables(documents=(DOCUMENTS, documents(texts, dict(enumerate(langs)) | {153: "aa"})))
     found = by_id(QUERIES["op8_language"](spark, folder))
     for i in range(len(texts)):
         assert found[i]["held_out"] == (zlib.crc32(str(i).encode()) % 3 == 1) and 0 <= found[i]["score"] <= 1
