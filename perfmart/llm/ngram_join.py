@@ -39,10 +39,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from perfmart.llm.components import components, saved
-from perfmart.llm.sketch import count_sketch, id_filter
+from perfmart.llm.sketch import CHUNK_BITS, count_sketch, id_filter
 from perfmart.llm.text import NOT_SPACE, Words, mix, slices, table, text_bytes
 
-SKETCH_BITS = 22
+#: Counters of the sketch: one for so many bytes of text, 2**SKETCH_BITS at most (64 MB in a task).
+SKETCH_BITS, SKETCH_BYTES = 24, 64
 #: A set is near a pivot up to this many times the distance of a link.
 NEAR = 3
 _ORDERS = (np.uint64(0x8CB92BA72F3D8DD7), np.uint64(0x2545F4914F6CDD1D))
@@ -77,7 +78,7 @@ def _firsts(doc: np.ndarray, key: np.ndarray, size: np.ndarray, wanted: np.ndarr
 
 def rare_keys(h: np.ndarray, level: np.ndarray) -> np.ndarray:
     """Tokens numbered in the first global order: by level, then by hash."""
-    depth = level[(h & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]
+    depth = level[(h & np.uint64(len(level) - 1)).astype(np.int64)]
     return (depth.astype(np.uint64) << np.uint64(55)) | (mix(h ^ np.uint64(0x9FB21C651E98DF25)) >> np.uint64(9))
 
 
@@ -90,14 +91,16 @@ FEATURES = ("id bigint, n bigint, d1 bigint, d2 bigint, common float, "
 
 
 def commonness(docs: DataFrame, k: int):
-    """Levels of the corpus's shingles in a counting sketch (broadcast: its size is fixed)."""
+    """Levels of the corpus's shingles in a counting sketch (broadcast: its size is bounded)."""
     def hashes():
         def fn(batch: pa.RecordBatch) -> np.ndarray:
             found = [shingles(text_bytes(p.column(0), "text"), k)[1] for p in slices(batch, "text")]
             return np.concatenate(found) if found else np.zeros(0, np.uint64)
         return fn
 
-    level = count_sketch(docs.select(F.struct("id", "text").alias("row")), hashes, SKETCH_BITS)
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+    bits = min(SKETCH_BITS, max(CHUNK_BITS, (size // SKETCH_BYTES).bit_length()))
+    level = count_sketch(docs.select(F.struct("id", "text").alias("row")), hashes, bits)
     return docs.sparkSession.sparkContext.broadcast(level)
 
 
@@ -231,21 +234,23 @@ def linked_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
     traits = found.join(own, "id", "left_semi").dropDuplicates(["id"])
 
     by_token = Window.partitionBy("t").orderBy(F.col("common").desc(), "id")  # the pivot comes first; one shuffle
-    buckets = saved(traits.select("id", "common", F.explode("rare").alias("t"))
-                    .select("t", "id", F.first("id").over(by_token).alias("pivot"), F.row_number().over(by_token).alias("k"))
-                    .where((F.col("k") > 1) & (F.col("id") != F.col("pivot"))).select("t", "id", "pivot"), "buckets")
-    star = saved(compare_with_pivots(buckets.select("id", "pivot").distinct(), docs, traits, k, percent, shared), "stars")
+    first_of = {c: F.first(c).over(by_token) for c in ("id", "n")}
+    buckets = saved(traits.select("id", "n", "common", F.explode("rare").alias("t"))
+                    .select("t", "id", "n", first_of["id"].alias("pivot"), first_of["n"].alias("np"), F.row_number().over(by_token).alias("k"))
+                    .where((F.col("k") > 1) & (F.col("id") != F.col("pivot")))
+                    .select("t", "id", "n", "pivot", _long_enough(F.col("n"), F.col("np"), percent).alias("fits")), "buckets")
+    star = saved(compare_with_pivots(buckets.where("fits").select("id", "pivot").distinct(), docs, traits, k, percent, shared), "stars")
     first = star.where("linked").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
     joined = components(first)
     second = saved(links_by_difference(star, joined, percent), "links-by-difference")
 
     # Pairs with a set that is not near the pivot of their bucket (step 3).
     placed = (buckets.join(joined, "id", "left").join(star.select("id", "pivot", "d", "near"), ["id", "pivot"], "left")
-                     .select("t", "id", "d", F.coalesce("near", F.lit(False)).alias("near"),
+                     .select("t", "id", "n", "d", F.coalesce("near", F.lit(False)).alias("near"),
                              F.coalesce("component", "id").alias("component")))
     open_tokens = (placed.groupBy("t").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("near").alias("all_near"))
                          .where("x <> y AND NOT all_near").select("t"))
-    rest = saved(placed.join(open_tokens, "t", "left_semi").join(traits.select("id", "n"), "id"), "open-buckets")
+    rest = saved(placed.join(open_tokens, "t", "left_semi"), "open-buckets")
     left, right = (rest.select(F.col("t").alias(f"t{x}"), F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "d", "near", "component")])
                    for x in "ab")
     reach = (F.abs(F.col("d_a") - F.col("d_b")) * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))

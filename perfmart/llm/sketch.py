@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_BITS = 14
+CHUNK_BITS = 16
 #: Partial sums of the first round.
 SALTS = 64
 
