@@ -73,6 +73,41 @@ def test_decontamination_in_blocks_and_cut_spans(spark, tables):
     assert whole.select("row.*").columns == docs.columns  # clashing names survive
 
 
+def test_item_blocks_are_bounded_and_matched_off_the_driver(spark, tables, monkeypatch):
+    rng = random.Random(6)
+    said = lambda n: " ".join(rng.choice("abcdefgh") + rng.choice("xyz") for _ in range(n))
+    items = [(i, said(rng.choice([1, 2, 3, 7, 13, 30]))) for i in range(40)] + [(40, said(400)), (41, said(15)), (None, said(9))]
+    texts = [said(rng.randrange(40)) for _ in range(20)]
+    for _, t in items[-12:]:
+        w = t.split()
+        i = rng.randrange(len(w))
+        texts += [said(5) + " " + " ".join(w[i:i + 40]), " ".join(w[:i]) + " zz " + t]
+    folder = tables(documents=(DOCUMENTS, documents([*texts, texts[-1]])), benchmark=(BENCHMARK, items))
+    docs, bench = (table(spark, folder, t, "*") for t in ("documents", "benchmark"))
+    blocks = decontaminate.dealt(bench, block_words=60).groupBy("block").agg(F.sum("n").alias("n")).collect()
+    assert len(blocks) > 10 and max(r.n for r in blocks) <= 60
+
+    def none(*_):
+        raise AssertionError("an automaton on the driver")
+
+    monkeypatch.setattr(decontaminate.Matcher, "__init__", none)
+    found = decontaminate.contamination(docs, bench, block_words=60).select("row.doc_id", "words", "spans", "items").collect()
+    wanted = {}
+    for d, t in enumerate([*texts, texts[-1]]):
+        w, hit, owners = t.split(), set(), set()
+        for item, x in items:
+            x = x.split()
+            m = min(13, len(x))
+            for k in range(len(x) - m + 1):
+                for i in range(len(w) - m + 1):
+                    if w[i:i + m] == x[k:k + m]:
+                        hit |= set(range(i, i + m))
+                        owners |= {str(item)} - {"None"}
+        wanted[d] = (len(w), hit, sorted(owners))
+    got = {r.doc_id: (r.words, {i for s in r.spans for i in range(s["a"], s["b"])}, r["items"]) for r in found}
+    assert got == wanted and len(found) == len(wanted)
+
+
 def test_url_cascade_is_exact_over_its_universe(spark):
     rng = random.Random(8)
     universe = [f"h{i}.net/{i % 7}/" for i in range(6000)]
