@@ -41,6 +41,8 @@ STEPS = 250
 BATCH = 64
 #: Documents of either label from which a quarter is kept for the logistic curve.
 LEAST_APART = 80
+#: Bits of the hash by which training documents are chosen.
+HASH_BITS = 62
 #: Windows scored together.
 SCORE_BATCH = 1024
 
@@ -384,18 +386,25 @@ def _calibrate(net: Network, logit: np.ndarray, toxic: np.ndarray, share: float)
     net.scale, net.shift = (float(a), float(b)) if a > 0 else (1.0, 0.0)
 
 
+def _limit(count: int, most: int) -> int:
+    """Hashes of ``HASH_BITS`` bits below it choose about ``most`` of ``count`` ids."""
+    return max(1, min(1 << HASH_BITS, (most << HASH_BITS) // max(1, count)))
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> tuple[list[bytes], np.ndarray, float]:
     """About ``most`` labelled texts of either label, chosen by a hash of the id,
-    and the share of positive ones among all labels."""
+    and the share of positive ones among all labels.  An error if both labels
+    occur and one that had to be sampled has no document in the sample."""
     rows = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
                   .groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic")))
     count = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    part = 1 << 20
-    limit = F.when(F.col("toxic") == 1, min(part, part * most // max(1, count.get(1, 0)))) \
-        .otherwise(min(part, part * most // max(1, count.get(0, 0))))
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(part)) < limit)  # about 2 * most rows at most
+    limit = F.when(F.col("toxic") == 1, _limit(count.get(1, 0), most)).otherwise(_limit(count.get(0, 0), most))
+    chosen = rows.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - HASH_BITS) < limit)  # about 2 * most rows at most
     found = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text"))
     found = sorted((r.doc_id, r.text, r.toxic) for r in found.collect())
+    missing = {y for y, n in count.items() if n > most} - {y for _, _, y in found}
+    if len(count) == 2 and missing:
+        raise ValueError(f"the training sample has no document with label {sorted(missing)} of {count} labels: do labels and documents belong together?")
     share = count.get(1, 0) / max(1, sum(count.values()))
     return [t.encode() for _, t, _ in found], np.array([y for _, _, y in found], dtype=np.int64), share
 

@@ -206,6 +206,17 @@ def test_gradients_are_those_of_the_loss():
             assert abs((up - down) / (2 * step) - found[name].reshape(-1)[k]) < 2e-3, name
 
 
+def test_training_sample_of_many_labels(spark):
+    """More than 2**20 labels for each document wanted; labels that fit no document."""
+    n = 10 << 20
+    labels = spark.range(n, 2 * n).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    docs = labels.select("doc_id", F.lit("a text").alias("text"))
+    texts, toxic, share = toxicity.training_sample(docs, labels, most=4)
+    assert share == 0.5 and 0 < toxic.sum() < len(toxic) == len(texts) <= 20
+    with pytest.raises(ValueError, match="label"):
+        toxicity.training_sample(docs.where("doc_id % 2 = 0"), labels, most=4)
+
+
 def test_windows_cover_the_text():
     for n in (0, 1, 31, 32, 33, 47, 48, 49, 200):
         words = toxicity.lowered([b"w " * n])
