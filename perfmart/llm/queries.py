@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from perfmart.llm import (
+    chat_windows,
     decontaminate,
     language,
     ngram_join,
+    periodic_runs,
     pieces,
+    prefix_trie,
     spotsigs,
     substrings,
     token_counts,
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_language": language.op8_language,
     "op10_substring_dedup": substrings.op10_substring_dedup,
     "op9_decontaminate": decontaminate.op9_decontaminate,
+    "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+    "op12_chat_windows": chat_windows.op12_chat_windows,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 ORACLE = {
     "op1_spotsigs": spotsigs.ORACLE_OP1,
@@ -34,4 +40,6 @@ ORACLE = {
     "op6_ngram_join": ngram_join.ORACLE_OP6,
     "op10_substring_dedup": substrings.ORACLE_OP10,
     "op9_decontaminate": decontaminate.ORACLE_OP9,
+    "op12_chat_windows": chat_windows.ORACLE_OP12,
+    "op13_prefix_trie": prefix_trie.ORACLE_OP13,
 }

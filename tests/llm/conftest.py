@@ -28,6 +28,7 @@ def tables(tmp_path):
 DOCUMENTS = [("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64())]
 BENCHMARK = [("item_id", pa.int64()), ("text", pa.string())]
 LABELS = [("doc_id", pa.int64()), ("quality", pa.int32()), ("toxic", pa.int32())]
+CONVERSATIONS = [("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())]
 PAGES = [("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string())]
 
 
