@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perfmart import config as C
-from perfmart.operators.relational import SALTS, min_per_key, union_all
+from perfmart.operators.relational import (
+    broadcast_limit,
+    min_per_key,
+    planned_bytes,
+    session_partitions,
+    union_all,
+)
+from perfmart.sources.files import stage_to_parquet
 
 INDEX_KEYS = ("peersValue", "calculationDate", "exportDate", "reportCurrency",
               "reportName", "date")
@@ -26,14 +33,19 @@ def load_reference(main_envelope: DataFrame, share_envelope: DataFrame,
     return main.unionByName(share)
 
 
-def membership_flag(df: DataFrame, feed: DataFrame, flag_col: str) -> DataFrame:
-    """``flag_col`` = 1 when the row's isin occurs in the feed, else 0.  Rows
-    without an isin match nothing and are spread by a hash of the row."""
+def membership_flag(df: DataFrame, feed: DataFrame, flag_col: str, cut=stage_to_parquet) -> DataFrame:
+    """``flag_col`` = 1 when the row's isin occurs in the feed, else 0.  The
+    distinct isins are written first; beyond the broadcast threshold rows and
+    isins are dealt out, and rows without an isin, which match nothing, are
+    spread by a hash of the row."""
     isins = (feed.select(F.col("isin").alias("__key")).where(F.col("__key").isNotNull()).distinct()
                  .withColumn(flag_col, F.lit(1)))
-    lone = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(64 * SALTS)).cast("string"))
-    keyed = df.withColumn("__key", F.coalesce(F.col("isin"), lone))
-    return keyed.join(isins, "__key", "left").drop("__key").na.fill(0, [flag_col])
+    kept = cut(isins) if cut is not None else isins
+    key = F.col("isin")
+    if planned_bytes(kept) > broadcast_limit(df):
+        spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(64 * session_partitions(df)))
+        key = F.coalesce(key, F.concat(F.lit("\u0000"), spread.cast("string")))
+    return df.withColumn("__key", key).join(kept, "__key", "left").drop("__key").na.fill(0, [flag_col])
 
 
 def special_rows(bench: DataFrame, special_fund: str, special_report: str) -> DataFrame:

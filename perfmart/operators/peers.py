@@ -11,9 +11,10 @@ from perfmart.operators.relational import (
     anti_join,
     contains_join,
     except_values,
+    lookup_join,
     min_per_key,
-    salted_join,
 )
+from perfmart.sources.files import stage_to_parquet
 
 AVG_COL = "categoryLabel"
 
@@ -27,7 +28,7 @@ def category_label(df: DataFrame, exempt_report: str) -> DataFrame:
         C.CATEGORY_AVERAGE))
 
 
-def category_fallback(labelled: DataFrame, house_prefix: str, distinct: bool = True) -> DataFrame:
+def category_fallback(labelled: DataFrame, house_prefix: str, distinct: bool = True, cut=stage_to_parquet) -> DataFrame:
     """Peers with no category-average row but an own-fund row borrow, per
     (report, peer, category), every row whose original group equals that
     category, labelled ``peer Category Average`` (one null-attribute row when
@@ -39,10 +40,10 @@ def category_fallback(labelled: DataFrame, house_prefix: str, distinct: bool = T
                        with_avg, "peersValue")
     donors = labelled.drop("peersValue", "reportName", "morningstarCategory", AVG_COL)
     # Inner join of the donors plus the wanted triples without any donor,
-    # instead of a left join that would have to stream the small side.  Group
-    # labels are few, so the donors are salted.
-    matched = salted_join(donors, wanted.withColumn("groupInvestment", F.col("morningstarCategory"))
-                          .where(F.col("groupInvestment").isNotNull()), ["groupInvestment"])
+    # instead of a left join that would have to stream the small side.
+    wanted = cut(wanted) if cut is not None else wanted
+    matched = lookup_join(donors, wanted.withColumn("groupInvestment", F.col("morningstarCategory"))
+                          .where(F.col("groupInvestment").isNotNull()), ["groupInvestment"], cut=None)
     found = donors.select(F.col("groupInvestment").alias("__g")).distinct()
     unmatched = anti_join(wanted, found, F.col("morningstarCategory") == F.col("__g"))
     borrowed = (matched.unionByName(unmatched, allowMissingColumns=True)
@@ -53,12 +54,11 @@ def category_fallback(labelled: DataFrame, house_prefix: str, distinct: bool = T
     return out.distinct() if distinct else out
 
 
-def attach_peer_name(df: DataFrame, feed: DataFrame, distinct: bool = True) -> DataFrame:
+def attach_peer_name(df: DataFrame, feed: DataFrame, distinct: bool = True, cut=stage_to_parquet) -> DataFrame:
     """``peersLib`` := feed ``Lib`` of the feed rows whose ``Cod`` is the peer.
-    The lookup is made distinct before the join, so only distinct names fan out;
-    peer codes are few, so the join is salted."""
+    The lookup is made distinct before the join, so only distinct names fan out."""
     names = feed.select(F.col("Cod").alias("peersValue"), F.col("Lib").alias("peersLib")).distinct()
-    out = salted_join(df, names, ["peersValue"], "left").select(*df.columns, "peersLib")
+    out = lookup_join(df, names, ["peersValue"], "left", cut).select(*df.columns, "peersLib")
     return out.distinct() if distinct else out
 
 
@@ -79,13 +79,13 @@ def uncovered_peers(df: DataFrame, ia_prefix: str = C.IA_PREFIX) -> DataFrame:
 
 
 def sector_fanout(df: DataFrame, peer_sector: DataFrame, ia_prefix: str = C.IA_PREFIX,
-                  label: str = C.IA_SECTOR, distinct: bool = True) -> DataFrame:
+                  label: str = C.IA_SECTOR, distinct: bool = True, cut=stage_to_parquet) -> DataFrame:
     """For each (peer p, sector s) of ``peer_sector``, every row whose group is
     ``ia_prefix`` followed somewhere by s yields two ``label`` rows: one under
     its own peer and one under p.  The LIKE join runs as an exact equi-join."""
     rows = df.where(F.col("groupInvestment").startswith(ia_prefix))
     ps = peer_sector.select(F.col("peersValue").alias("__p"), F.col("sector").alias("__s"))
-    matched = contains_join(rows, "groupInvestment", ps, "__s", offset=len(ia_prefix))
+    matched = contains_join(rows, "groupInvestment", ps, "__s", offset=len(ia_prefix), cut=cut)
     out = (matched.withColumn("peersValue", F.explode(F.array(F.col("peersValue"), F.col("__p"))))
                   .withColumn("groupInvestment", F.lit(label))
                   .select(*df.columns))
@@ -104,8 +104,8 @@ def peer_sectors(named: DataFrame, uncovered: DataFrame, transco: DataFrame) ->
     return sector_of_peer(named, transco).join(uncovered.select("peersValue"), "peersValue", "left_semi")
 
 
-def sector_rows(named: DataFrame, peer_sector: DataFrame, distinct: bool = True) -> DataFrame:
+def sector_rows(named: DataFrame, peer_sector: DataFrame, distinct: bool = True, cut=stage_to_parquet) -> DataFrame:
     """Sector fan-out of the uncovered peers' sectors (rows already carry
     ``peersLib``), then the label collapse."""
-    fan = sector_fanout(named, peer_sector, distinct=distinct)
+    fan = sector_fanout(named, peer_sector, distinct=distinct, cut=cut)
     return collapse_sector_label(named.unionByName(fan))

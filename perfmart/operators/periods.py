@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perfmart import config as C
-from perfmart.operators.relational import salted_join
+from perfmart.operators.relational import lookup_join
+from perfmart.sources.files import stage_to_parquet
 
 DATE_KEYS = ["date", "peersValue", "reportName", "reportCurrency", "periodType"]
 
@@ -17,17 +18,16 @@ def is_synthetic(index_suffix: str = C.INDEX_SUFFIX, avg_suffix: str = C.CATEGOR
     return g.endswith(index_suffix) | g.endswith(avg_suffix) | (g == sector)
 
 
-def propagate_dates(df: DataFrame, distinct: bool = True) -> DataFrame:
+def propagate_dates(df: DataFrame, distinct: bool = True, cut=stage_to_parquet) -> DataFrame:
     """Synthetic rows take both period dates from the other rows with the same
     (date, peer, report, currency, period): one row per distinct date pair,
     null dates without a match.  Rows whose group is null or not synthetic are
-    untouched and never join, so only the synthetic rows and a distinct
-    date table go through the shuffle; its keys are few, so it is salted."""
+    untouched and never join; the distinct dates are a ``lookup_join``."""
     syn = is_synthetic()
     base = df.where(~syn)
     dates = (base.select(*DATE_KEYS, F.col("periodStartDate").alias("__start"),
                          F.col("periodEndDate").alias("__end")).distinct())
-    synthetic = (salted_join(df.where(syn).drop("periodStartDate", "periodEndDate"), dates, DATE_KEYS, "left")
+    synthetic = (lookup_join(df.where(syn).drop("periodStartDate", "periodEndDate"), dates, DATE_KEYS, "left", cut)
                    .withColumnsRenamed({"__start": "periodStartDate", "__end": "periodEndDate"})
                    .select(*df.columns))
     untouched = df.where(syn.isNull() | ~syn)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perfmart import config as C
+from perfmart.sources import published
 
 
 def final_projection(df: DataFrame, columns: Sequence[str], distinct: bool = True) -> DataFrame:
@@ -35,11 +36,10 @@ def clone_rows(df: DataFrame, rules: Sequence[C.CloneRule]) -> DataFrame:
     rule table is broadcast and all rules take one pass over the rows."""
     if not rules:
         return df
-    spark = df.sparkSession
-    r = spark.createDataFrame(
-        [(x.group, x.report_prefix, x.skip_period, x.new_peer, x.new_group, x.new_report)
-         for x in rules],
-        "__group string, __prefix string, __skip string, __peer string, __ngroup string, __report string")
+    names = ("__group", "__prefix", "__skip", "__peer", "__ngroup", "__report")
+    table = F.array(*[F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(names, (
+        x.group, x.report_prefix, x.skip_period, x.new_peer, x.new_group, x.new_report), strict=True)]) for x in rules])
+    r = df.sparkSession.range(1).select(F.inline(table))
     cond = ((F.col("groupInvestment") == F.col("__group"))
             & F.col("reportName").startswith(F.col("__prefix"))
             & (F.col("__skip").isNull() | (F.col("periodType") != F.col("__skip"))))
@@ -54,14 +54,10 @@ def clone_rows(df: DataFrame, rules: Sequence[C.CloneRule]) -> DataFrame:
 def publish_slice(df: DataFrame, path: str, partition_col: str = "date",
                   fmt: str = "parquet") -> str:
     """Replace the partitions present in ``df`` (one report date) and nothing
-    else.  Dynamic partition overwrite writes the new files first and then
-    swaps the partition's folder: repeating it is safe, but a crash between
-    removing the old folder and renaming the new one loses that date until the
-    job runs again.  Where readers must never see that, publish to a table
-    format with transactions (``fmt``).  An empty slice publishes nothing."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(partition_col).format(fmt).save(path))
-    return path
+    else, through ``perfmart.sources.published``: the files are written first and
+    a pointer to them is set last, so a crash at any moment leaves the former
+    slice.  Repeating it is safe; an empty slice publishes nothing."""
+    return published.publish(df, path, partition_col, fmt).path
 
 
 def append_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
@@ -75,5 +71,4 @@ def append_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = N
 def read_published(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
     """The published table; with ``schema``, also one to which nothing has been
     published yet."""
-    reader = spark.read.format(fmt)
-    return (reader.schema(schema) if schema is not None else reader).load(path)
+    return published.read(spark, path, fmt, schema)

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perfmart import config as C
-from perfmart.operators.relational import salted_join
+from perfmart.operators.relational import lookup_join
+from perfmart.sources.files import stage_to_parquet
 from perfmart.functions import (
     is_own_period,
     map_lookup,
@@ -107,22 +108,37 @@ def normalise_period(df: DataFrame, label: str = C.SINCE_PM,
 
 
 def drop_foreign_labels(df: DataFrame, peers: DataFrame,
-                        marker: str = C.FOREIGN_PERIOD_MARKER) -> DataFrame:
+                        marker: str = C.FOREIGN_PERIOD_MARKER, cut=stage_to_parquet) -> DataFrame:
     """Remove rows whose period equals any peer code of ``peers`` (a one-column
     frame ``peersValue``) or contains ``marker``; a null period is kept.
 
-    Period labels have a handful of values, so the join is salted."""
+    The distinct codes are written first (``lookup_join``): while Spark may
+    broadcast them, the rows are filtered where they are."""
     codes = (peers.select(F.col("peersValue").alias("metricPeriodType")).where(F.col("metricPeriodType").isNotNull())
                   .distinct().withColumn("__code", F.lit(1)))
     # Left join on the distinct codes + "no match", i.e. an anti join whose
     # condition stays on the computed period column (an anti join would be
     # pushed below the projections, inlining the whole label expression).
-    kept = (salted_join(df, codes, ["metricPeriodType"], "left")
+    kept = (lookup_join(df, codes, ["metricPeriodType"], "left", cut)
             .where(F.col("__code").isNull()).select(*df.columns))
     return kept.where(F.col("metricPeriodType").isNull()
                       | ~F.col("metricPeriodType").contains(marker))
 
 
+#: Staging columns that every step up to the pivot leaves as they are and that
+#: are pivot keys (three of them under another name).  Numbers are left out:
+#: an aggregate normalises them, so they could not serve as its partitioning.
+DEAL_BY = ("sourceFileName", "isin", "groupInvestment", "morningstarCategory", "calculatedOn", "startDate", "endDate")
+
+
+def distinct_staging(raw: DataFrame, by: Sequence[str] = DEAL_BY) -> DataFrame:
+    """Distinct staging rows, dealt out once by columns that stay unchanged up
+    to the pivot: the distinct and the pivot both accept that partitioning, so
+    the wide rows are exchanged a single time.  Rows without an isin are spread
+    by their group, category and dates."""
+    return raw.repartition(*by).distinct()
+
+
 def copy_period_columns(df: DataFrame) -> DataFrame:
     """Report-level names of the period and fund columns."""
     return df.withColumns({

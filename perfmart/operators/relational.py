@@ -1,20 +1,23 @@
 """Generic relational building blocks used by the report operators.
 
 Each one is a plain DataFrame composition.  Joins carry no broadcast hint
-unless a side has one row or holds configuration: the planner and AQE choose
-from measured bytes.  A lookup on a key with few values goes through
-``salted_join``, which spreads the rows of each value over several tasks.
+unless a side has one row or holds configuration: the planner chooses from
+measured bytes.  A lookup on a key with few values goes through ``lookup_join``:
+it is written first, so its size is known before the rows that look it up are
+dealt out; beyond the session's broadcast threshold these rows are salted.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+from perfmart.sources.files import stage_to_parquet
+
 _UNORDERABLE = (MapType,)
 
 
@@ -47,21 +50,49 @@ def total_order(df: DataFrame, first: Sequence[Column], keys: Sequence[str]) ->
     return [*first, *[F.col(f"`{c}`").asc_nulls_first() for c in rest]]
 
 
-#: Tasks over which the rows of one key value are spread.
-SALTS = 16
+def session_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def salted_join(df: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner",
-                salts: int = SALTS) -> DataFrame:
+                salts: int | None = None) -> DataFrame:
     """``df`` joined with a much smaller ``lookup`` on columns that may hold few
     values (or many nulls): each row of ``df`` gets a salt from a hash of the
     whole row, and each row of ``lookup`` is repeated for every salt, so no key
-    value is bound to one task.  ``how``: inner, left, left_semi or left_anti."""
+    value is bound to one task.  ``salts``: by default the session's shuffle
+    partitions, so that even one value is spread over all of them.  ``how``:
+    inner, left, left_semi or left_anti."""
+    salts = salts or session_partitions(df)
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in orderable_columns(df)]), F.lit(salts)).cast("int")
     spread = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return df.withColumn("__salt", salt).join(spread, [*on, "__salt"], how).drop("__salt")
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """The size that Spark's planner assumes; for a cut, the bytes of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: never)."""
+    spark = df.sparkSession
+    said = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(said)) if not said.startswith("-") else -1
+
+
+def lookup_join(df: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner",
+                cut: Callable[[DataFrame], DataFrame] | None = stage_to_parquet) -> DataFrame:
+    """``df`` joined with a lookup on columns that may hold few values.  The
+    lookup is written as a cut first: its files' bytes are known when the join
+    is planned.  Up to the session's broadcast threshold the planner broadcasts
+    it and the rows of ``df`` stay where they are; beyond, they are salted.
+    ``cut=None`` takes the planner's estimate of the lookup as it is."""
+    kept = cut(lookup) if cut is not None else lookup
+    if planned_bytes(kept) <= broadcast_limit(df):
+        return df.join(kept, list(on), how)
+    return salted_join(df, kept, on, how)
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str,
                    descending: bool = True) -> DataFrame:
     """Keep one row per key: the newest ``order_col`` (nulls last), ties broken
@@ -140,8 +171,8 @@ def contains_pairs(texts: DataFrame, text_col: str, patterns: DataFrame, pattern
 
 
 def contains_join(left: DataFrame, text_col: str, right: DataFrame, pattern_col: str,
-                  offset: int = 0) -> DataFrame:
+                  offset: int = 0, cut: Callable[[DataFrame], DataFrame] | None = stage_to_parquet) -> DataFrame:
     """``left JOIN right ON substring(text, offset+1) LIKE '%' || pattern || '%'``
     (pattern taken literally), as two equi-joins through ``contains_pairs``."""
     pairs = contains_pairs(left, text_col, right, pattern_col, offset)
-    return salted_join(left, pairs.join(right, pattern_col), [text_col])
+    return lookup_join(left, pairs.join(right, pattern_col), [text_col], cut=cut)

@@ -8,18 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perfmart import config as C
-from perfmart.operators.relational import latest_per_key, salted_join
+from perfmart.operators.relational import latest_per_key, lookup_join
+from perfmart.sources.files import stage_to_parquet
 
 
 def attach_report_date(df: DataFrame, week_period: str = C.WEEK_PERIOD,
-                       on: Sequence[str] = ("sourceFileName", "reportName")) -> DataFrame:
+                       on: Sequence[str] = ("sourceFileName", "reportName"), cut=stage_to_parquet) -> DataFrame:
     """``date`` := end date of the ``week_period`` rows of the same file and
     report.  Rows of a (file, report) without such a row are dropped; several
     end dates fan the rows out.  The date table has one row per (file, report,
-    date) and few keys, so the join is salted."""
+    date) and few keys: a ``lookup_join``."""
     dates = (df.where((F.col("periodType") == week_period) & F.col("periodEndDate").isNotNull())
                .select(*on, F.col("periodEndDate").alias("date")).distinct())
-    return salted_join(df, dates, list(on)).select(*df.columns, "date")
+    return lookup_join(df, dates, list(on), cut=cut).select(*df.columns, "date")
 
 
 def latest_calculation(df: DataFrame, keys: Sequence[str],

@@ -96,6 +96,18 @@ def publish_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(back.select(*[c for c in back.columns if c != "date"], "date"))
 
 
+def published_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7 without a job of its own: the rows and slices that the publication of
+    the report has counted while it wrote them."""
+    from pyspark.sql import functions as F
+
+    from perfmart.plans.report import run_report
+    from perfmart.session import scratch_path
+
+    done = run_report(standin_inputs(spark, sf_dir, csv=True), STANDIN_CONFIG, scratch_path(spark, "report-table"))
+    return spark.range(1).select(F.lit(done.rows).cast("bigint").alias("rows"), F.lit(len(done.slices)).cast("bigint").alias("slices"))
+
+
 def report_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole report from stored envelopes: all three feeds are written as
     ``{data: struct}`` Parquet to the shared scratch folder and read back."""
@@ -168,6 +180,9 @@ def _build() -> tuple[dict[str, Query], dict[str, str]]:
         "feed", "SELECT isin, Cod, Lib, Dat, bench1W FROM feed WHERE IsPartPrinc IS NOT NULL")
     queries["publish_report"] = publish_report
     sql["publish_report"] = oracle.stage_sql("cloned")
+    queries["published_rows"] = published_rows
+    sql["published_rows"] = oracle.stage_sql(
+        "cloned", "SELECT count(*) AS rows, count(DISTINCT date) AS slices FROM cloned")
     for key, fn in primitives.QUERIES.items():
         queries[key] = fn
         if key in primitives.ORACLE:

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from perfmart.config import ReportConfig
 from perfmart.operators import benchmark, peers, periods, publish, recode, reshape, snapshot
 from perfmart.session import drop_paths, scratch_path
+from perfmart.sources import published
 from perfmart.sources.envelope import flatten
 from perfmart.sources.files import parquet_roundtrip, stage_to_parquet
 from perfmart.sources.standins import ReportInputs
@@ -76,20 +77,20 @@ def report_stages(inputs: ReportInputs, cfg: ReportConfig,
                                                         names.special_report))
         # Clean, recode, relabel, drop foreign period labels.
         raw = flatten(inputs.staging, "data", ["sourceFileName"])
-        staging = put("staging", raw.distinct())
+        staging = put("staging", recode.distinct_staging(raw))
         cleaned = put("cleaned", recode.clean_labels(staging))
         scoped = put("scoped", recode.scoped_recode(cleaned))
         relabelled = put("relabelled", recode.duplicate_relabel(scoped))
         reassigned = put("reassigned", recode.reassign_peer(relabelled))
         normalised = put("normalised", recode.normalise_period(reassigned))
-        filtered = put("filtered", recode.drop_foreign_labels(normalised, recode.peer_codes(raw)))
+        filtered = put("filtered", recode.drop_foreign_labels(normalised, recode.peer_codes(raw), cut=materialise))
         prepared = put("prepared", recode.copy_period_columns(filtered))
         # Metric names -> columns, metric families.
         pivoted = put("pivoted", reshape.pivot_sum(prepared, schema.pivot_keys, "metricType",
                                                    "metricValue", schema.metrics))
         families = put("families", reshape.coalesce_families(pivoted), cut=True)
         # Report date, newest calculation per key.
-        with_date = put("with_date", snapshot.attach_report_date(families))
+        with_date = put("with_date", snapshot.attach_report_date(families, cut=materialise))
         dated = put("dated", snapshot.latest_calculation(with_date, schema.window_keys))
         # The feed has several consumers from here on: cut it now (only the
         # queries that go this far pay for it), then rebuild its two views.
@@ -98,19 +99,19 @@ def report_stages(inputs: ReportInputs, cfg: ReportConfig,
             bench = reshape.unpivot_benchmarks(feed)
             special = benchmark.special_rows(bench, names.special_fund, names.special_report)
         # Flag, index rows, ragged append.
-        flagged = put("flagged", benchmark.membership_flag(dated, feed, names.flag_col))
+        flagged = put("flagged", benchmark.membership_flag(dated, feed, names.flag_col, cut=materialise))
         index = put("index", benchmark.index_rows(flagged, bench, names.flag_col, distinct=d))
         ci_index = put("ci_index", benchmark.append_ragged(flagged, index, special), cut=True)
         # Category averages.
         labelled = put("labelled", peers.category_label(ci_index, names.exempt_report))
-        eaa = put("eaa", peers.category_fallback(labelled, names.house_prefix, distinct=d))
+        eaa = put("eaa", peers.category_fallback(labelled, names.house_prefix, distinct=d, cut=materialise))
         # Peer names, uncovered peers, sector rows.
-        named = put("named", peers.attach_peer_name(eaa, feed, distinct=d), cut=True)
+        named = put("named", peers.attach_peer_name(eaa, feed, distinct=d, cut=materialise), cut=True)
         uncovered = put("uncovered", peers.uncovered_peers(ci_index))
         peer_sector = put("peer_sector", peers.peer_sectors(named, uncovered, inputs.transco))
-        sector = put("sector", peers.sector_rows(named, peer_sector, distinct=d), cut=True)
+        sector = put("sector", peers.sector_rows(named, peer_sector, distinct=d, cut=materialise), cut=True)
         # Period dates of synthetic rows.
-        dates = put("periods", periods.propagate_dates(sector, distinct=d))
+        dates = put("periods", periods.propagate_dates(sector, distinct=d, cut=materialise))
         # Output columns, scaling, labels (one distinct covers both).
         projected = put("projected", publish.final_projection(
             dates, schema.output_columns(names.flag_col), distinct=d))
@@ -131,25 +132,28 @@ def current_report(inputs: ReportInputs, cfg: ReportConfig,
     m = materialise or (lambda x: x)
     s = report_stages(inputs, cfg, dedupe_each_step=False, materialise=materialise, upto="labelled",
                       cut_at=("feed", "families", "ci_index"))
-    eaa = peers.category_fallback(s["labelled"], names.house_prefix, distinct=False)
+    eaa = peers.category_fallback(s["labelled"], names.house_prefix, distinct=False, cut=materialise)
     # Later steps change labels only to the sector label, on rows that begin
     # with the sector prefix (their dates count already) or by the collapse.
-    dates = peers.collapse_sector_label(eaa.select("date", "isin", "groupInvestment"))
+    # The labels of all dates are kept as one narrow cut: dates and sectors read it.
+    labels = m(eaa.select("date", "isin", "groupInvestment", "peersValue").distinct())
+    dates = peers.collapse_sector_label(labels.select("date", "isin", "groupInvestment"))
     current = snapshot.on_date(eaa, m(snapshot.snapshot_date(dates, names.special_fund)))
-    named = m(peers.attach_peer_name(current, s["feed"], distinct=False))
+    named = m(peers.attach_peer_name(current, s["feed"], distinct=False, cut=materialise))
     uncovered = peers.uncovered_peers(s["ci_index"])
-    peer_sector = peers.peer_sectors(eaa, uncovered, inputs.transco)
-    sector = m(peers.sector_rows(named, peer_sector, distinct=False))
-    dated = periods.propagate_dates(sector, distinct=False)
+    peer_sector = peers.peer_sectors(labels, uncovered, inputs.transco)
+    sector = m(peers.sector_rows(named, peer_sector, distinct=False, cut=materialise))
+    dated = periods.propagate_dates(sector, distinct=False, cut=materialise)
     report = publish.scale_and_label(
         publish.final_projection(dated, schema.output_columns(names.flag_col), distinct=False),
         names.special_fund, schema.renames)
     return publish.clone_rows(report, cfg.clones())
 
 
-def run_report(inputs: ReportInputs, cfg: ReportConfig, target: str) -> str:
+def run_report(inputs: ReportInputs, cfg: ReportConfig, target: str) -> published.Published:
     """Build the report of the snapshot date, replace that date in ``target``,
-    and remove the run's cut points."""
+    and remove the run's cut points.  The result counts the rows, as the write
+    has seen them."""
     spark, made = inputs.staging.sparkSession, []
 
     def cut(df: DataFrame) -> DataFrame:
@@ -157,7 +161,7 @@ def run_report(inputs: ReportInputs, cfg: ReportConfig, target: str) -> str:
         return parquet_roundtrip(df, made[-1])
 
     try:
-        return publish.publish_slice(current_report(inputs, cfg, cut), target)
+        return published.publish(current_report(inputs, cfg, cut), target)
     finally:
         drop_paths(spark, made)
 

@@ -28,12 +28,56 @@ def test_no_cartesian_or_nested_loop_anywhere(stages):
         assert "BroadcastNestedLoopJoin" not in p, name
 
 
-def test_pivot_is_one_aggregate_and_labels_never_partition_rows(spark):
-    inputs = standin_inputs(spark, SF001)
-    p = plan(report_stages(inputs, STANDIN_CONFIG, upto="pivoted")["pivoted"])
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def before_pivot(spark):
+    return report_stages(standin_inputs(spark, SF001), STANDIN_CONFIG, upto="pivoted")["pivoted"]
+
+
+def deals(p: str) -> list[str]:
+    return re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", re.sub(r"#\d+L?", "", p))
+
+
+def test_distinct_and_pivot_share_one_exchange(spark):
+    """The wide rows are dealt out once, by columns that stay unchanged; the
+    label filter in between broadcasts its few codes."""
+    p = plan(before_pivot(spark))
     assert "pivotfirst" not in p.lower()
-    # rows meet the foreign labels by label and salt, never by the few labels alone
+    assert [d for d in deals(p) if "sourceFileName" in d or "metric" in d] == [
+        "sourceFileName, isin, groupInvestment, morningstarCategory, calculatedOn, startDate, endDate"]
+    assert re.search(r"BroadcastHashJoin \[metricPeriodType#\d+\]", p) and "__salt" not in p
+
+
+def test_large_lookups_never_partition_rows_by_label(spark, no_broadcast):
+    """Beyond the threshold rows meet the labels by label and salt; the result
+    is the same."""
+    df = before_pivot(spark)
+    p = plan(df)
     assert re.search(r"Join \[metricPeriodType#\d+, __salt#\d+\]", p)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    small = before_pivot(spark)
+    assert df.exceptAll(small).count() == 0 and small.exceptAll(df).count() == 0
+
+
+def test_lookups_are_planned_by_the_bytes_of_their_cuts(spark):
+    from perfmart.operators import relational
+    from pyspark.sql import functions as F
+
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
+    lookup = df.groupBy("k").agg(F.max("id").alias("m"))
+    out = relational.lookup_join(df, lookup, ["k"])
+    assert "BroadcastHashJoin" in plan(out) and out.count() == 100
+    for limit, salted in (("1b", True), ("0", True), ("-1", True), ("10MB", False)):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            assert ("__salt" in plan(relational.lookup_join(df, lookup, ["k"], "left"))) == salted, limit
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_nested_filter_and_columns_reach_the_stored_envelope(spark):
