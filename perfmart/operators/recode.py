@@ -152,7 +152,9 @@ def copy_period_columns(df: DataFrame) -> DataFrame:
 
 def peer_codes(raw_staging: DataFrame) -> DataFrame:
     """Peer codes after the scoped recode (before relabelled copies are added).
-    Row-wise steps only, so it reads just the peer and report columns of the
-    raw (not yet deduplicated) staging rows."""
-    return scoped_recode(clean_labels(raw_staging)).select("peersValue").distinct()
-
+    The recode is row-wise in two columns, so their distinct pairs of the raw
+    staging rows are enough; only these two columns are read."""
+    pairs = raw_staging.select("peerGroup", "scopeName").distinct()
+    peers = pairs.select(F.col("scopeName").alias("reportName"), F.lit(None).cast("string").alias("metricPeriodType"),
+                         strip_leading_label("peerGroup", C.PEER_PREFIXES).alias("peersValue"))
+    return scoped_recode(peers).select("peersValue").distinct()

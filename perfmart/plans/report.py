@@ -68,13 +68,16 @@ def report_stages(inputs: ReportInputs, cfg: ReportConfig,
         return s[name]
 
     try:
-        # Reference feed, unpivoted benchmarks, special-fund rows
-        # (independent of the staging branch, so built first).
-        feed = put("feed", benchmark.load_reference(inputs.main_feed, inputs.share_feed,
-                                                    names.special_fund))
-        bench = put("bench", reshape.unpivot_benchmarks(feed))
-        special = put("special", benchmark.special_rows(bench, names.special_fund,
-                                                        names.special_report))
+        # Reference feed, unpivoted benchmarks, special-fund rows.
+        # They are independent of the staging branch, and planned when it asks
+        # for them (a cut) unless one of them is the frame that is wanted.
+        def reference(cut: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+            feed = put("feed", benchmark.load_reference(inputs.main_feed, inputs.share_feed, names.special_fund), cut=cut)
+            bench = put("bench", reshape.unpivot_benchmarks(feed))
+            return feed, bench, put("special", benchmark.special_rows(bench, names.special_fund, names.special_report))
+
+        if upto in ("feed", "bench", "special"):
+            reference(cut=False)
         # Clean, recode, relabel, drop foreign period labels.
         raw = flatten(inputs.staging, "data", ["sourceFileName"])
         staging = put("staging", recode.distinct_staging(raw))
@@ -92,12 +95,8 @@ def report_stages(inputs: ReportInputs, cfg: ReportConfig,
         # Report date, newest calculation per key.
         with_date = put("with_date", snapshot.attach_report_date(families, cut=materialise))
         dated = put("dated", snapshot.latest_calculation(with_date, schema.window_keys))
-        # The feed has several consumers from here on: cut it now (only the
-        # queries that go this far pay for it), then rebuild its two views.
-        if "feed" in cut_at:
-            feed = m(feed)
-            bench = reshape.unpivot_benchmarks(feed)
-            special = benchmark.special_rows(bench, names.special_fund, names.special_report)
+        # The feed has several consumers from here on: one cut.
+        feed, bench, special = reference(cut=True)
         # Flag, index rows, ragged append.
         flagged = put("flagged", benchmark.membership_flag(dated, feed, names.flag_col, cut=materialise))
         index = put("index", benchmark.index_rows(flagged, bench, names.flag_col, distinct=d))

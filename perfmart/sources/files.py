@@ -32,8 +32,9 @@ def parquet_roundtrip(df: DataFrame, path: str | None = None) -> DataFrame:
     nothing upstream and the data is not computed twice."""
     spark = df.sparkSession
     target = path or scratch_path(spark, "roundtrip")
+    schema = df.schema
     df.write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    return spark.read.schema(schema).parquet(target)  # no job to infer what is known
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
