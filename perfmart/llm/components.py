@@ -41,7 +41,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         now = saved(_star(_star(now, True), False), "links")
         # done when the set of links stays as it is
-        new = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.count_distinct("a"), F.sum("b")).first()
+        new = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.count_distinct("a"), F.sum(F.col("b").cast("decimal(38,0)"))).first()
         if new == mark:
             break
         mark = new

@@ -22,11 +22,14 @@ with the commonest tokens (the likely origin of the group):
    the symmetric difference is a metric) and they are in different components.
 
 Candidates of steps 1 and 3 pass the length filter and the two other orders
-before their sets are compared, exactly (by 63-bit shingle keys).  No link that
-matters to a component is lost.
+before their sets are compared, exactly (by shingle keys of 55 bits of hash and a level).
+Those of step 2 need no order: they share a token of their differences already.
+No link that matters to a component is lost.
 
 A null or wordless text has the empty set, which links with nothing.  Rows with
-one id are one node; a row without an id has the component of its equals, or null.
+one id and one text are one node.  Several texts under one id are compared each
+for itself (``linked_rows``); as documents (``linked_components``) they are one.
+A row without an id has the component of its equals, or null.
 """
 
 from __future__ import annotations
@@ -137,13 +140,18 @@ def features(docs: DataFrame, k: int, percent: int, shared) -> DataFrame:
 
 def shingle_sets(docs: DataFrame, ids: DataFrame, k: int, shared) -> DataFrame:
     """(id, s): the shingle keys, in order, of the documents in ``ids`` (id)."""
-    packed = docs.where(F.col("id").isNotNull()).select(F.struct("id", "text").alias("row"))
+    ids = saved(ids, "wanted-sets")
     wanted = id_filter(ids)
+    docs = docs.where(F.col("id").isNotNull())
+    if wanted is None:
+        docs = docs.join(ids, "id", "left_semi")
+    packed = docs.select(F.struct("id", "text").alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = shared.value
         for batch in batches:
-            batch = batch.filter(pa.array(wanted(batch.column(0).field("id").to_numpy(zero_copy_only=False))))
+            if wanted is not None:
+                batch = batch.filter(pa.array(wanted(batch.column(0).field("id").to_numpy(zero_copy_only=False))))
             for part in slices(batch, "text"):
                 doc, h = shingles(text_bytes(part.column(0), "text"), k)
                 key = rare_keys(h, level)
@@ -224,6 +232,51 @@ def links_by_difference(star: DataFrame, joined: DataFrame, percent: int) -> Dat
 
 def linked_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """(id, n, component) of each row of ``docs`` (id, text)."""
+    return linked_rows(docs, k, percent).select("id", "n", "component")
+
+
+#: The sign bit, set in the nodes of ids with several texts.
+_MARK = -(1 << 63)
+
+
+def linked_rows(docs: DataFrame, k: int = 5, percent: int = 80, one_node: bool = True) -> DataFrame:
+    """(id, tag, n, component, first) of each row of ``docs`` (id, text): the
+    smallest id of its component, and whether the row is the component's first
+    text.  ``tag`` tells apart the texts of an id that has several (the hash of
+    the text, else null); ``first`` is null for a row without an id; ``one_node``: whether these are linked."""
+    repeated = saved(docs.where(F.col("id").isNotNull()).groupBy("id").agg(
+        F.min(F.xxhash64("text")).alias("x"), F.max(F.xxhash64("text")).alias("y")).where("x <> y").select("id"), "repeated-ids")
+    if repeated.isEmpty():
+        member, joined = _linked_nodes(docs.select("id", "text"), k, percent)
+        return _placed(member, joined).select(
+            "id", F.lit(None).cast("bigint").alias("tag"), "n", "component", (F.col("id") == F.col("component")).alias("first"))
+    rows = docs.select("id", "text").join(repeated.select(F.col("id").alias("twice")), F.col("id") == F.col("twice"), "left").select(
+        F.when(F.col("twice").isNotNull(), F.xxhash64("id", "text").bitwiseOR(F.lit(_MARK))).otherwise(F.col("id")).alias("id"),
+        "text", F.col("twice").alias("own"))
+    names = saved(rows.where(F.col("own").isNotNull()).select(F.col("id").alias("node"), "own", F.xxhash64("text").alias("tag")).distinct(), "nodes")
+    same = names.join(names.groupBy("own").agg(F.min("node").alias("b")), "own").select(F.col("node").alias("a"), "b").where("a <> b")
+    member, joined = _linked_nodes(rows.select("id", "text"), k, percent, same if one_node else None)
+    found = saved(_placed(member, joined), "components")
+    odd = found.join(names, found["id"] == names["node"], "left_semi").select("component").distinct()
+    named = found.join(names, found["id"] == names["node"], "left").select(
+        F.coalesce("own", "id").alias("id"), "tag", "n", "component")
+    firsts = saved(named.join(odd, "component", "left_semi").where(F.col("id").isNotNull()).groupBy("component")
+                        .agg(F.min(F.struct("id", "tag")).alias("lead")), "component-names")
+    return named.join(firsts, "component", "left").select(
+        "id", "tag", "n", F.coalesce("lead.id", "component").alias("component"),
+        (F.col("id") == F.coalesce("lead.id", "component")).alias("own_name"), F.col("lead.tag").alias("lead_tag")).select(
+        "id", "tag", "n", "component",
+        F.when(F.col("id").isNotNull(), F.col("own_name") & F.col("tag").eqNullSafe(F.col("lead_tag"))).alias("first"))
+
+
+def _placed(member: DataFrame, joined: DataFrame) -> DataFrame:
+    return (member.join(joined.select(F.col("id").alias("rep"), "component"), "rep", "left")
+                  .select("id", "n", F.coalesce("component", "rep").alias("component")))
+
+
+def _linked_nodes(docs: DataFrame, k: int, percent: int, same: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(id, n, rep): each node's class; (id, component) of linked classes.
+    ``same``: further links (a, b) of nodes."""
     shared = commonness(docs, k)
     found = saved(features(docs, k, percent, shared), "shingle-features")
     reps = found.where((F.col("n") > 0) & F.col("id").isNotNull()).groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"))
@@ -260,9 +313,13 @@ def linked_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
     last = compared(pairs, docs, traits, k, percent, shared)
     sizes = F.size("s_a") + F.size("s_b")
     third = last.where(_linked(sizes - 2 * F.size(F.array_intersect("s_a", "s_b")), sizes, percent)).select("a", "b")
-    joined = components(first.unionByName(second).unionByName(third))
-    return (member.join(joined.select(F.col("id").alias("rep"), "component"), "rep", "left")
-                  .select("id", "n", F.coalesce("component", "rep").alias("component")))
+    links = first.unionByName(second).unionByName(third)
+    if same is not None:
+        reps_of = member.select(F.col("id").alias("node"), "rep").distinct()
+        links = links.unionByName(same.join(reps_of.select(F.col("node").alias("a"), F.col("rep").alias("x")), "a")
+                                      .join(reps_of.select(F.col("node").alias("b"), F.col("rep").alias("y")), "b")
+                                      .select(F.col("x").alias("a"), F.col("y").alias("b")))
+    return member, components(links)
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,31 +57,75 @@ def count_sketch(rows: DataFrame, make: Callable[[], Callable[[pa.RecordBatch],
     return level
 
 
+#: Bits for a key of an id filter, and positions that a key sets.
+KEY_BITS, PROBES = 16, 2
+#: Largest filter: 2**FILTER_BITS bits (64 MB).  Beyond, keys are joined.
+FILTER_BITS = 29
+
+
 def without_ids(rows: DataFrame, column: str, gone: DataFrame) -> DataFrame:
     """``rows`` whose ``column`` is not among ``gone`` (id).  Rows that the id
     filter already clears stay where they are; only the others are joined."""
+    ids = gone.select(F.col("id").alias("__gone"))
     test = id_filter(gone)
+    if test is None:
+        return rows.join(ids, F.col(f"`{column}`") == F.col("__gone"), "left_anti")
 
     @F.pandas_udf("boolean")
     def maybe(x: pd.Series) -> pd.Series:
         return pd.Series(test(x.fillna(0).to_numpy().astype(np.int64)))
 
     suspect = F.col(f"`{column}`").isNotNull() & maybe(F.col(f"`{column}`").cast("bigint"))
-    ids = gone.select(F.col("id").alias("__gone"))
     checked = rows.where(suspect).join(ids, F.col(f"`{column}`") == F.col("__gone"), "left_anti")
     return rows.where(~suspect).unionByName(checked)
 
 
-def id_filter(ids: DataFrame, bits: int = 23) -> Callable[[np.ndarray], np.ndarray]:
-    """A test that is true for each id of the one-column frame, and for few others."""
+def _places(x: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The positions that each key sets."""
     from perfmart.llm.text import mix
+    h = mix(x.astype(np.int64).view(np.uint64))
+    low = np.uint64((1 << bits) - 1)
+    return [(h >> np.uint64(32 * p)) & low if bits <= 32 else mix(h + np.uint64(p)) & low for p in range(PROBES)]
+
+
+def id_filter(ids: DataFrame, most: int = FILTER_BITS) -> Callable[[np.ndarray], np.ndarray] | None:
+    """A test that is true for each id of the one-column frame, and for about
+    two of a hundred others: ``KEY_BITS`` bits for a key, so it is as selective
+    for many keys as for few.  None if that takes more than 2**``most`` bits.
+    The bits are set and joined on the executors."""
+    bits = max(CHUNK_BITS, (KEY_BITS * ids.count() - 1).bit_length())
+    if bits > most:
+        return None
+    size = min(1 << CHUNK_BITS, 1 << (bits - 3))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        field = np.zeros(1 << (bits - 3), dtype=np.uint8)
+        for batch in batches:
+            for at in _places(batch.column(0).to_numpy(zero_copy_only=False), bits):
+                np.bitwise_or.at(field, (at >> np.uint64(3)).astype(np.int64), np.left_shift(1, (at & np.uint64(7)).astype(np.uint8), dtype=np.uint8))
+        salt = TaskContext.get().partitionId() % SALTS
+        used = [(i, c) for i, c in enumerate(field.reshape(-1, size)) if c.any()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([i for i, _ in used], pa.int32()), pa.array([salt] * len(used), pa.int32()),
+             pa.array([zlib.compress(c.tobytes(), 1) for _, c in used], pa.binary())], ["chunk", "salt", "bits"])
 
-    def make():
-        return lambda batch: mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+    def either(parts: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(size, dtype=np.uint8)
+        for c in parts["bits"]:
+            total |= np.frombuffer(zlib.decompress(c), dtype=np.uint8)
+        return pd.DataFrame({"chunk": parts["chunk"].iloc[:1], "salt": parts["salt"].iloc[:1], "bits": [zlib.compress(total.tobytes(), 1)]})
 
-    packed = np.packbits(count_sketch(ids, make, bits) > 0)
+    schema = "chunk int, salt int, bits binary"
+    parts = ids.mapInArrow(run, schema).groupBy("chunk", "salt").applyInPandas(either, schema).groupBy("chunk").applyInPandas(either, schema)
+    field = np.zeros(1 << (bits - 3), dtype=np.uint8)
+    for r in parts.select("chunk", "bits").toLocalIterator():
+        field[r.chunk * size:(r.chunk + 1) * size] = np.frombuffer(zlib.decompress(bytes(r.bits)), dtype=np.uint8)
+    shared = ids.sparkSession.sparkContext.broadcast(field)
 
     def test(x: np.ndarray) -> np.ndarray:
-        at = mix(x.astype(np.int64).view(np.uint64)) & np.uint64((1 << bits) - 1)
-        return (packed[(at >> np.uint64(3)).astype(np.int64)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8)) & 1 > 0
+        field, out = shared.value, np.ones(len(x), dtype=bool)
+        for at in _places(x, bits):
+            out &= (field[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        return out
     return test

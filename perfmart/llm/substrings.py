@@ -9,11 +9,13 @@ with a smaller id.
    kept if documents with different texts have them.
 2. The stretches of windows under such keys are cut out of their documents and
    their distinct texts, each with the smallest id that has it, are dealt out by
-   key.  Under a key of very many documents every window is dealt out on its own
-   (by its hash), so a passage that any number of documents share collapses to
-   one row a window before it is shuffled.
-3. Each shard is an FM-index: the Burrows-Wheeler transform of its stretches in
-   a wavelet matrix (packed bits with rank counts).  The stretches are streamed
+   key.  Under a key of very many documents, or of more distinct words than a
+   shard takes, every window is dealt out on its own (by its hash), so a passage
+   that any number of documents share collapses to one row a window before it is
+   shuffled, and no key makes a shard large.
+3. Each shard (``SHARD_WORDS`` words, and one key's more at most) is an FM-index:
+   the Burrows-Wheeler transform of its stretches in a wavelet matrix (packed
+   bits with rank counts); intervals are marked in bit vectors, too.  The stretches are streamed
    through it from right to left by backward search: the interval of the last
    WINDOW - 1 words, widened from that of the window before, is extended by the
    next word to the left.  The smallest id within a window's interval decides.
@@ -36,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perfmart.llm.components import saved
-from perfmart.llm.sketch import id_filter
+from perfmart.llm.sketch import FILTER_BITS, id_filter
 from perfmart.llm.text import NOT_SPACE, Words, mix, slices, table, text_bytes
 
 WINDOW = 50
@@ -45,8 +47,8 @@ GRAM = 20
 SPLIT = 20_000
 #: Windows of one stretch at most (longer runs are cut, keeping every window).
 STRETCH = 128
-#: Words of one FM-index, unless one key has more.
-SHARD_WORDS = 1_500_000
+#: Words from which an FM-index is closed, and most words of one key in it.
+SHARD_WORDS = 250_000
 
 
 def window_keys(words: Words, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
@@ -102,19 +104,23 @@ def profiles(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def stretches(docs: DataFrame, shared, split, window: int = WINDOW) -> DataFrame:
     """The stretches of windows whose key passes ``shared``; those whose key
-    passes ``split`` window by window, under the window's own hash."""
+    passes ``split`` window by window, under the window's own hash.  Both are
+    tests of keys, or None where ``docs`` have the keys of every row (``wanted``
+    and, of these, ``alone``)."""
+    listed = shared is None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 rows = part.column(0)
                 words = Words(text_bytes(rows, "text"), NOT_SPACE)
                 at, key = window_keys(words, window)
-                keep = shared(key.view(np.int64))
-                at, key = at[keep], key[keep]
+                doc = np.searchsorted(words.first, at, "right") - 1
+                keep = _among(rows.field("wanted"), doc, key) if listed else shared(key.view(np.int64))
+                at, key, doc = at[keep], key[keep], doc[keep]
                 if not len(at):
                     continue
-                alone = split(key.view(np.int64))
-                doc = np.searchsorted(words.first, at, "right") - 1
+                alone = _among(rows.field("alone"), doc, key) if listed else split(key.view(np.int64))
                 new = np.ones(len(at), dtype=bool)
                 new[1:] = (key[1:] != key[:-1]) | (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1]) | alone[1:]
                 begin = np.flatnonzero(new)
@@ -130,10 +136,54 @@ def stretches(docs: DataFrame, shared, split, window: int = WINDOW) -> DataFrame
                 yield pa.RecordBatch.from_arrays(
                     [rows.field("id").take(pa.array(d)), rows.field("tag").take(pa.array(d)),
                      pa.array((lo - words.first[d]).astype(np.int32)), pa.array(route.view(np.int64)),
-                     pa.array(digest.view(np.int64)), pa.array(text, pa.binary())],
-                    ["id", "tag", "place", "route", "digest", "words"])
+                     pa.array(digest.view(np.int64)), pa.array((hi - lo).astype(np.int32)), pa.array(text, pa.binary())],
+                    ["id", "tag", "place", "route", "digest", "n", "words"])
+
+    rows = _packed(docs) if not listed else docs.select(F.struct("id", "tag", "text", "wanted", "alone").alias("row"))
+    return rows.mapInArrow(run, _STRETCH)
+
+
+_STRETCH = "id bigint, tag bigint, place int, route bigint, digest bigint, n int, words binary"
+
+
+def _among(lists: pa.ListArray, doc: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether each key is in the list of its document (``doc`` ascends)."""
+    out = np.zeros(len(key), dtype=bool)
+    at, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
+    edge = np.searchsorted(doc, np.arange(len(lists) + 1))
+    for d in np.unique(doc):
+        out[edge[d]:edge[d + 1]] = np.isin(key[edge[d]:edge[d + 1]], values[at[d]:at[d + 1]])
+    return out
+
+
+def with_key_lists(docs: DataFrame, known: DataFrame, keys: DataFrame, split: int) -> DataFrame:
+    """The documents with a shared key, and their lists of such keys: the way
+    for more keys than a filter takes.  Hot keys join in several tasks."""
+    lists = (known.where(F.col("id").isNotNull()).select("id", "tag", F.explode("keys").alias("key")).join(keys, "key")
+                  .groupBy("id", "tag").agg(F.collect_set("key").alias("wanted"),
+                                            F.collect_set(F.when(F.col("c") >= split, F.col("key"))).alias("alone")))
+    return (docs.where(F.col("id").isNotNull()).select("id", F.xxhash64("text").alias("tag"), "text").join(lists, ["id", "tag"]))
+
+
+def one_by_one(cut: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Stretches taken apart: every window under its own hash."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 200):
+                part = batch.slice(k, 200)
+                words = Words(part.column("words").to_pylist(), NOT_SPACE)
+                lo = np.flatnonzero(words.whole(window))
+                row = np.searchsorted(words.first, lo, "right") - 1
+                digest = words.span_hash(lo, lo + window).view(np.int64)
+                raw, take = words.buf.tobytes(), pa.array(row)
+                text = [raw[a:b] for a, b in zip(words.start[lo].tolist(), words.end[lo + window - 1].tolist(), strict=True)]
+                place = part.column("place").to_numpy()[row] + lo - words.first[row]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id").take(take), part.column("tag").take(take), pa.array(place.astype(np.int32)),
+                     pa.array(digest), pa.array(digest), pa.array(np.full(len(lo), window, np.int32)), pa.array(text, pa.binary())],
+                    batch.schema.names)
 
-    return _packed(docs).mapInArrow(run, "id bigint, tag bigint, place int, route bigint, digest bigint, words binary")
+    return cut.mapInArrow(run, _STRETCH)
 
 
 class Bits:
@@ -168,7 +218,7 @@ class FMIndex:
         inner = np.ones(n, dtype=bool)
         inner[self.stop] = False
         symbols[inner] = texts
-        self.symbols, self.size, self.window, self.n = symbols, size, window, n
+        self.symbols, self.size, self.window, self.n = symbols.astype(np.int32), size, window, n
         rank, depth, kept = np.unique(symbols, return_inverse=True)[1].astype(np.int64), 1, {}
 
         def ahead(x: np.ndarray, by: int) -> np.ndarray:
@@ -189,11 +239,10 @@ class FMIndex:
         for w, (r, by) in kept.items():  # where the first w words change along the order
             key = (r * (n + 2) + ahead(r, by))[order]
             start[w] = np.append(True, key[1:] != key[:-1])
-        wide = np.flatnonzero(start[window - 1])
-        group = np.cumsum(start[window - 1]) - 1
-        self.wide_from, self.wide_to = wide[group], np.append(wide[1:], n)[group]
-        same = np.flatnonzero(start[window])
-        self.low = np.minimum.reduceat(lows[owner[order]], same)[np.cumsum(start[window]) - 1]
+        # intervals of the same window - 1 and the same window words: where they begin
+        self.wide, self.same = Bits(start[window - 1]), Bits(start[window])
+        self.wide_at = np.append(np.flatnonzero(start[window - 1]), n).astype(np.int32)
+        self.low = np.minimum.reduceat(lows[owner[order]], np.flatnonzero(start[window]))
         self.first = np.concatenate([[0], np.cumsum(np.bincount(symbols))])
         column = symbols[order - 1]
         self.levels = []
@@ -232,8 +281,9 @@ class FMIndex:
             m = int(np.searchsorted(-left, -k, "right"))  # texts with k windows or more
             low, high = low[:m], high[:m]
             low, high = self.extend(self.symbols[stop[:m] - self.window - k + 1], low, high)
-            out[last[:m] - k] = self.low[low]
-            low, high = self.wide_from[low], self.wide_to[low]
+            out[last[:m] - k] = self.low[self.same.ones(low + 1) - 1]
+            group = self.wide.ones(low + 1) - 1
+            low, high = self.wide_at[group].astype(np.int64), self.wide_at[group + 1].astype(np.int64)
         return out, offsets
 
 
@@ -243,11 +293,11 @@ def search_shards(distinct: DataFrame, window: int = WINDOW, shard_words: int =
         held, size, route = [], 0, None
 
         def result() -> pa.RecordBatch:
-            texts = [w for b in held for w in b.column("words").to_pylist()]
-            parts = [t.split(b" ") for t in texts]
             number: dict[bytes, int] = {}
-            flat = np.array([number.setdefault(w, len(number) + 1) for p in parts for w in p], dtype=np.int64)
-            ends = np.cumsum([len(p) for p in parts])
+            ends = np.cumsum(np.concatenate([b.column("n").to_numpy() for b in held]).astype(np.int64))
+            flat = np.fromiter((number.setdefault(w, len(number) + 1) for b in held for t in b.column("words") for w in t.as_py().split(b" ")),
+                               dtype=np.int32, count=int(ends[-1]))
+            del number
             lows = np.concatenate([b.column("low").to_numpy(zero_copy_only=False) for b in held])
             found, offsets = FMIndex(flat, ends, lows, window).stream()
             column = {c: pa.concat_arrays([b.column(c) for b in held]) for c in ("route", "digest")}
@@ -256,7 +306,7 @@ def search_shards(distinct: DataFrame, window: int = WINDOW, shard_words: int =
                 ["route", "digest", "lows"])
 
         for batch in batches:
-            routes = batch.column("route").to_numpy()
+            routes, sizes = batch.column("route").to_numpy(), batch.column("n").to_numpy()
             edges = [0, *(np.flatnonzero(routes[1:] != routes[:-1]) + 1).tolist(), batch.num_rows]
             i = 0
             for a, b in zip(edges[:-1], edges[1:], strict=True):
@@ -265,7 +315,7 @@ def search_shards(distinct: DataFrame, window: int = WINDOW, shard_words: int =
                         held.append(batch.slice(i, a - i))
                     yield result()
                     held, size, i = [], 0, a
-                size += sum(map(len, batch.column("words").slice(a, b - a).to_pylist())) // 6
+                size += int(sizes[a:b].sum())
                 route = routes[a]
                 if not held and i == a:
                     held.append(batch.slice(a, b - a))
@@ -275,11 +325,12 @@ def search_shards(distinct: DataFrame, window: int = WINDOW, shard_words: int =
         if held:
             yield result()
 
-    rows = distinct.select("route", "digest", "low", "words").repartition("route").sortWithinPartitions("route", "digest")
+    rows = distinct.select("route", "digest", "low", "n", "words").repartition("route").sortWithinPartitions("route", "digest")
     return rows.mapInArrow(run, "route bigint, digest bigint, lows array<bigint>")
 
 
-def covered(docs: DataFrame, window: int = WINDOW, split: int = SPLIT) -> DataFrame:
+def covered(docs: DataFrame, window: int = WINDOW, split: int = SPLIT, shard_words: int = SHARD_WORDS,
+            most: int = FILTER_BITS) -> DataFrame:
     """(id, tag, whole, starts): documents of ``docs`` (id, text) with windows
     that start in a document with a smaller id, by their first words; ``whole``
     where the document equals an earlier one."""
@@ -291,10 +342,17 @@ def covered(docs: DataFrame, window: int = WINDOW, split: int = SPLIT) -> DataFr
     keys = saved(long.select("d1", F.explode("keys").alias("key")).groupBy("key")
                      .agg(F.min("d1").alias("x"), F.max("d1").alias("y"), F.count("*").alias("c"))
                      .where("x <> y").select("key", "c"), "shared-keys")
-    cut = saved(stretches(docs, id_filter(keys.select("key")), id_filter(keys.where(F.col("c") >= split).select("key")), window),
-                "stretches")
-    distinct = cut.groupBy("route", "digest").agg(F.min("id").alias("low"), F.first("words").alias("words"))
-    found = search_shards(distinct, window)
+    shared, alone = id_filter(keys.select("key"), most), id_filter(keys.where(F.col("c") >= split).select("key"), most)
+    listed = shared is None or alone is None
+    cut = saved(stretches(with_key_lists(docs, known, keys, split), None, None, window) if listed
+                else stretches(docs, shared, alone, window), "stretches")
+    large = saved(cut.groupBy("route", "digest").agg(F.first("n").alias("n")).groupBy("route").agg(F.sum("n").alias("n"))
+                     .where(F.col("n") > shard_words).select("route"), "large-keys")
+    if not large.isEmpty():
+        taken = one_by_one(cut.join(large, "route", "left_semi").select(cut.columns), window)
+        cut = saved(cut.join(large, "route", "left_anti").select(cut.columns).unionByName(taken), "stretches")
+    distinct = cut.groupBy("route", "digest").agg(F.min("id").alias("low"), F.first("n").alias("n"), F.first("words").alias("words"))
+    found = search_shards(distinct, window, shard_words)
     j = F.transform("lows", lambda x, k: F.when(x < F.col("id"), F.col("place") + k))
     hit = (cut.select("route", "digest", "id", "tag", "place").join(found, ["route", "digest"])
               .select("id", "tag", F.lit(False).alias("whole"), F.filter(j, lambda x: x.isNotNull()).alias("starts"))
@@ -307,11 +365,11 @@ FIELDS = "words bigint, removed bigint, kept string, rest string"
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, split: int = SPLIT,
-                    carry: list[str] | None = None) -> DataFrame:
+                    carry: list[str] | None = None, shard_words: int = SHARD_WORDS, most: int = FILTER_BITS) -> DataFrame:
     """``row`` (the document) with its number of ``words``, those ``removed``,
     the ``kept`` words joined by one space, and the ``rest`` of the text, which
     keeps the white space between kept words."""
-    hits = covered(docs.select(F.col(key).cast("bigint").alias("id"), "text"), window, split)
+    hits = covered(docs.select(F.col(key).cast("bigint").alias("id"), "text"), window, split, shard_words, most)
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
                       F.col(key).cast("bigint").alias("id"), F.xxhash64("text").alias("tag"))
     rows = own.join(hits, ["id", "tag"], "left").select("doc", "whole", "starts", F.col("doc.text").alias("text"))

@@ -248,3 +248,53 @@ def test_dealing_windows_one_by_one_changes_nothing(spark, split):
     got = sorted((r.row.doc_id, r.words, r.removed, r.kept) for r in found.collect())
     want = sorted((r.row.doc_id, r.words, r.removed, r.kept) for r in substrings.without_repeats(docs, split=7).collect())
     assert got == want and any(x[2] for x in got)
+
+
+@pytest.mark.parametrize(("shard_words", "most"), [(60, 29), (400, 0), (250_000, 0)])
+def test_keys_larger_than_a_shard_and_more_keys_than_a_filter(spark, shard_words, most):
+    """Keys with more words than a shard are dealt out by window; without a
+    filter the keys are joined: the result is the same."""
+    rng = random.Random(9)
+    passage = " ".join(f"p{i}" for i in range(75))
+    texts = [f"{' '.join(rng.choice('abcdefgh') for _ in range(rng.randrange(40)))} {passage} {i} {passage[:200]}" for i in range(30)]
+    texts += corpus(31, 25)
+    rows = [*enumerate(texts), (None, passage), (3, passage + " other"), (3, passage + " other")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    key = lambda df: sorted(((r.row.doc_id, r.words, r.removed, r.kept) for r in df.collect()), key=str)
+    got = key(substrings.without_repeats(docs, shard_words=shard_words, most=most))
+    assert got == key(substrings.without_repeats(docs)) and sum(x[2] > 0 for x in got) > 20
+
+
+def test_id_filter_is_sized_by_its_keys(spark):
+    from perfmart.llm import sketch
+    for n, least_bits in ((10, 16), (300_000, 22)):
+        ids = spark.range(n).select((F.col("id") * 7 - 1000).alias("id"))
+        test = sketch.id_filter(ids)
+        assert test(np.arange(n) * 7 - 1000).all()
+        assert test(np.arange(10 ** 6) * 7 - 999).mean() < 0.05
+        assert sketch.id_filter(ids, least_bits) is None or n * sketch.KEY_BITS <= 1 << least_bits
+    docs = spark.range(50).select(F.col("id"), F.lit("x").alias("n"))
+    gone = spark.createDataFrame([(3,), (4,), (99,)], "id long")
+    want = [i for i in range(50) if i not in (3, 4)]
+    for bits in (29, 0):  # by the filter, by a join
+        sketch.FILTER_BITS, old = bits, sketch.FILTER_BITS
+        try:
+            sketch.id_filter.__defaults__ = (bits,)
+            assert sorted(r.id for r in sketch.without_ids(docs, "id", gone).collect()) == want
+        finally:
+            sketch.FILTER_BITS = old
+            sketch.id_filter.__defaults__ = (old,)
+
+
+def test_an_id_with_two_texts(spark):
+    """Links of both texts count; as rows they are judged one by one."""
+    from perfmart.llm import ngram_join
+    rng = random.Random(5)
+    a, b, c = (" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(60)) for _ in range(3))
+    rows = [(1, a), (2, a + " more"), (2, b), (3, b + " more"), (4, c), (5, None), (5, c + " more"), (6, "alone"), (None, b)]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    found = {(r.id, r.n > 0): r.component for r in ngram_join.linked_components(docs, 5, 80).collect()}
+    assert found == {(1, True): 1, (2, True): 1, (3, True): 1, (4, True): 4, (5, False): 4, (5, True): 4, (6, True): 6, (None, True): 1}
+    rows = {(r.id, r.n, r.component, r.first) for r in ngram_join.linked_rows(docs, 5, 80, one_node=False).collect()}
+    assert rows == {(1, 56, 1, True), (2, 57, 1, False), (2, 56, 2, True), (3, 57, 2, False), (4, 56, 4, True), (5, 0, 5, True),
+                    (5, 57, 4, False), (6, 1, 6, True), (None, 56, 2, None)}

@@ -46,3 +46,18 @@ def test_stages_keep_what_brute_force_keeps(spark, tables):
 def test_empty_documents(spark, tables):
     folder = tables(documents=(DOCUMENTS, []), benchmark=(BENCHMARK, []))
     assert corpus_pipeline.run(spark, folder).collect() == []
+
+
+def test_null_and_repeated_ids(spark, tables):
+    """Rows are judged one by one; an unrelated text under a repeated id stays."""
+    rng = random.Random(8)
+    a, b, c = (spoken("aa", rng, 60) for _ in range(3))
+    rows = [(1, a, "en", "s", 1), (2, a + " more", "en", "s", 1), (2, b, "en", "s", 1), (3, b + " more", "en", "s", 1), (4, c, "en", "s", 1),
+            (4, c, "en", "s", 1), (None, spoken("aa", rng, 30), None, None, None), (5, None, "en", "s", 0), (None, None, None, None, None)]
+    folder = tables(documents=(DOCUMENTS, rows), benchmark=(BENCHMARK, [(None, "x"), (1, None)]))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = dict(corpus_pipeline.STAGES)["near_copies"](spark, docs, folder)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted(
+        (r[0] or 0, r[1] or "") for i, r in enumerate(rows) if i not in (1, 3))
+    assert sorted(r.doc_id or 0 for r in corpus_pipeline.run(spark, folder).collect()) == [0, 1, 2, 4, 4]
