@@ -30,10 +30,15 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join: five-word shingles, similarity 0.8; of each linked
     group the smallest id stays (so do texts without words, and rows without an
-    id)."""
-    found = ngram_join.linked_components(docs.select(F.col("doc_id").alias("id"), "text"), 5, 80)
-    gone = found.where(F.col("component") < F.col("id")).select("id").distinct()
-    return sketch.without_ids(docs, "doc_id", saved(gone, "near-copies"))
+    id).  Where an id has several texts, each is judged for itself, and of the
+    texts of the smallest id one stays; equal rows stay or go together."""
+    found = ngram_join.linked_rows(docs.select(F.col("doc_id").alias("id"), "text"), 5, 80, one_node=False)
+    gone = saved(found.where(~F.col("first")).select("id", "tag").distinct(), "near-copies")
+    kept = sketch.without_ids(docs, "doc_id", gone.where(F.col("tag").isNull()).select("id"))
+    odd = saved(gone.where(F.col("tag").isNotNull()).select(F.col("id").alias("__id"), F.col("tag").alias("__tag")), "near-copies-of-repeated-ids")
+    if odd.isEmpty():
+        return kept
+    return kept.join(odd, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__tag")), "left_anti")
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,13 +53,16 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark decontamination: contaminated documents go."""
+    """Benchmark decontamination: contaminated documents go.  Rows are judged one
+    by one: ids may be null or repeated; a null or wordless text stays, and an
+    empty benchmark contaminates nothing."""
     found = decontaminate.contamination(docs, text.table(spark, sf_dir, "benchmark", "item_id", "text"))
     return found.where(~decontaminate.contaminated()).select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SentencePiece: token counts and digests of the remaining documents."""
+    """SentencePiece: token counts and digests of the remaining documents, one row
+    for each (repeated rows and null ids included); a null text is empty."""
     return pieces.digests(pieces.piece_ids(docs.select("doc_id", "text"), pieces.model_path(), carry=["doc_id"]))
 
 
