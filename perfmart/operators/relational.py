@@ -146,28 +146,44 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
+#: Length of the indexed pieces of a text; shorter patterns are looked up whole.
+GRAM = 8
+
+
 def contains_pairs(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_col: str,
-                   offset: int = 0) -> DataFrame:
+                   offset: int = 0, gram: int = GRAM) -> DataFrame:
     """Distinct (text, pattern) pairs where ``substring(text, offset + 1)``
     contains ``pattern`` literally.
 
-    A LIKE '%p%' join has no equality key; this one builds an exact one.  The
-    lengths that occur among the patterns are one aggregated row; each distinct
-    text emits its substrings of those lengths, which join the patterns by
-    equality.  So a candidate is a match (repeated substrings apart), however
-    alike the patterns begin."""
-    p = patterns.select(F.col(pattern_col).alias("__p")).where(F.col("__p").isNotNull()).distinct()
-    lengths = p.agg(F.collect_set(F.length("__p")).alias("__ns")).withColumn("__one", F.lit(1))
+    A LIKE '%p%' join has no equality key.  Here each distinct text is indexed
+    by its pieces of ``gram`` characters, and each pattern is looked up by the
+    one of its own pieces that is rarest among the texts.  Where the piece is
+    found, the text holds the pattern if the characters around it are the
+    pattern's; no other place is looked at.  A pattern with a piece that no text
+    has is dropped at once.  Patterns shorter than ``gram`` are their own piece:
+    a text also emits its pieces of those lengths that occur, ``gram - 1`` of
+    them at most.  So the index grows with the texts alone, however many lengths
+    the patterns have."""
+    p = patterns.select(F.col(pattern_col).alias("__p")).where(F.col("__p").isNotNull()).distinct() \
+        .withColumn("__size", F.length("__p"))
+    # the lengths of pieces: gram and the shorter ones that occur; one row
+    sizes = (p.agg(F.sort_array(F.collect_set(F.least(F.col("__size"), F.lit(gram)))).alias("__ns")).withColumn("__one", F.lit(1)))
     t = (texts.select(F.col(text_col).alias("__t")).where(F.col("__t").isNotNull()).distinct()
               .withColumn("__s", F.substring(F.col("__t"), offset + 1, 1 << 30)).withColumn("__one", F.lit(1)))
-    size = F.length("__s")
-    sized = (t.join(F.broadcast(lengths), "__one")    # one row
-              .select("__t", "__s", F.explode("__ns").alias("__n")).where(F.col("__n") <= size))
-    last = F.when(F.col("__n") == 0, F.lit(1)).otherwise(size - F.col("__n") + 1)
-    grams = (sized.select("__t", "__s", "__n", F.explode(F.sequence(F.lit(1), last)).alias("__i"))
-                  .select("__t", F.substring(F.col("__s"), F.col("__i"), F.col("__n")).alias("__p")))
-    return (grams.join(p, "__p").distinct()
-                 .select(F.col("__t").alias(text_col), F.col("__p").alias(pattern_col)))
+    sized = (t.join(F.broadcast(sizes), "__one")
+              .select("__t", "__s", F.explode("__ns").alias("__n")).where(F.col("__n") <= F.length("__s")))
+    last = F.when(F.col("__n") == 0, F.lit(1)).otherwise(F.length("__s") - F.col("__n") + 1)
+    index = (sized.select("__t", "__s", "__n", F.explode(F.sequence(F.lit(1), last)).alias("__at"))
+                  .select("__t", "__s", "__at", F.substring(F.col("__s"), F.col("__at"), F.col("__n")).alias("__g")))
+    own = p.select("__p", "__size", F.posexplode(F.when(F.col("__size") <= gram, F.array("__p")).otherwise(
+        F.transform(F.sequence(F.lit(1), F.col("__size") - gram + 1), lambda i: F.substring(F.col("__p"), i, F.lit(gram))))).alias("__k", "__g"))
+    found = index.groupBy("__g").agg(F.count(F.lit(1)).alias("__c"))
+    counted = own.join(found, "__g", "left").groupBy("__p", "__size").agg(
+        F.min(F.struct(F.coalesce("__c", F.lit(0)).alias("c"), F.col("__k").alias("k"), F.col("__g").alias("g"))).alias("__r"))
+    rarest = counted.where(F.col("__r.c") > 0).select("__p", "__size", F.col("__r.k").alias("__k"), F.col("__r.g").alias("__g"))
+    around = F.substring(F.col("__s"), F.col("__at") - F.col("__k"), F.col("__size"))
+    return (index.join(rarest, "__g").where((F.col("__at") > F.col("__k")) & (around == F.col("__p")))
+                 .select(F.col("__t").alias(text_col), F.col("__p").alias(pattern_col)).distinct())
 
 
 def contains_join(left: DataFrame, text_col: str, right: DataFrame, pattern_col: str,

@@ -108,6 +108,46 @@ def published_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.range(1).select(F.lit(done.rows).cast("bigint").alias("rows"), F.lit(len(done.slices)).cast("bigint").alias("slices"))
 
 
+def staging_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staging feed stored in three versions, each with more rows than
+    the one before; the latest is found by its folder and read alone."""
+    from pyspark.sql import functions as F
+
+    from perfmart.session import scratch_path
+    from perfmart.sources.envelope import flatten
+    from perfmart.sources.files import stage_to_parquet
+    from perfmart.sources.versions import read_latest, write_version
+
+    path = scratch_path(spark, "staging-versions")
+    rows = stage_to_parquet(standin_inputs(spark, sf_dir).staging)
+    part = F.pmod(F.xxhash64("data.isin", "data.calculatedOn"), F.lit(3))
+    for k, day in enumerate(("2024-01-05", "2024-01-12", "2024-01-19")):
+        write_version(rows.where(part <= k), path, day)
+    return doubles(flatten(read_latest(spark, path, schema=rows.schema), "data", ["sourceFileName"]).distinct())
+
+
+def latest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1/C10 batch by batch: the dated rows arrive in three batches, the last
+    of which repeats rows of the first; each is merged into the kept state."""
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from perfmart.operators.latest_state import merge_batch
+    from perfmart.session import scratch_path
+    from perfmart.sources.files import stage_to_parquet
+
+    rows = stage_to_parquet(report_stages(standin_inputs(spark, sf_dir), STANDIN_CONFIG, upto="with_date")["with_date"])
+    keys = STANDIN_CONFIG.schema.window_keys
+    part = F.pmod(F.datediff("calculationDate", F.lit("2000-01-01").cast("date")), F.lit(3))
+    run, state = uuid.uuid4().hex[:12], None
+    for k, batch in enumerate((part == 0, part == 1, part != 1)):
+        name = f"latest_{run}_{k}"
+        out = merge_batch(rows.where(batch), keys, "calculationDate", name, scratch_path(spark, name), state)
+        state = name
+    return doubles(out)
+
+
 def report_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole report from stored envelopes: all three feeds are written as
     ``{data: struct}`` Parquet to the shared scratch folder and read back."""
@@ -180,6 +220,10 @@ def _build() -> tuple[dict[str, Query], dict[str, str]]:
         "feed", "SELECT isin, Cod, Lib, Dat, bench1W FROM feed WHERE IsPartPrinc IS NOT NULL")
     queries["publish_report"] = publish_report
     sql["publish_report"] = oracle.stage_sql("cloned")
+    queries["staging_snapshot"] = staging_snapshot
+    sql["staging_snapshot"] = oracle.stage_sql("staging")
+    queries["latest_incremental"] = latest_incremental
+    sql["latest_incremental"] = oracle.stage_sql("dated")
     queries["published_rows"] = published_rows
     sql["published_rows"] = oracle.stage_sql(
         "cloned", "SELECT count(*) AS rows, count(DISTINCT date) AS slices FROM cloned")

@@ -117,7 +117,8 @@ def report_stages(inputs: ReportInputs, cfg: ReportConfig,
         report = put("report", publish.scale_and_label(projected, names.special_fund,
                                                        schema.renames), cut=True)
         # The snapshot date's slice and the cloned category averages.
-        sliced = put("slice", snapshot.snapshot_slice(report, names.special_fund))
+        stored = materialise is not None and "report" in cut_at and upto != "report"
+        sliced = put("slice", (snapshot.stored_slice if stored else snapshot.snapshot_slice)(report, names.special_fund))
         put("cloned", publish.clone_rows(sliced, cfg.clones()))
     except _Done:
         pass
@@ -137,7 +138,12 @@ def current_report(inputs: ReportInputs, cfg: ReportConfig,
     # The labels of all dates are kept as one narrow cut: dates and sectors read it.
     labels = m(eaa.select("date", "isin", "groupInvestment", "peersValue").distinct())
     dates = peers.collapse_sector_label(labels.select("date", "isin", "groupInvestment"))
-    current = snapshot.on_date(eaa, m(snapshot.snapshot_date(dates, names.special_fund)))
+    if labels.inputFiles() and materialise is not None:
+        # the date is a value now: it is pushed to the scan of the wide cut
+        day = snapshot.latest_counted_date(dates, names.special_fund)
+        current = snapshot.on_value(eaa, day)
+    else:
+        current = snapshot.on_date(eaa, m(snapshot.snapshot_date(dates, names.special_fund)))
     named = m(peers.attach_peer_name(current, s["feed"], distinct=False, cut=materialise))
     uncovered = peers.uncovered_peers(s["ci_index"])
     peer_sector = peers.peer_sectors(labels, uncovered, inputs.transco)
