@@ -80,17 +80,25 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(said)) if not said.startswith("-") else -1
 
 
+#: Tasks for one key value of a lookup that is large itself.
+LEAST_SALTS = 16
+
+
 def lookup_join(df: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner",
                 cut: Callable[[DataFrame], DataFrame] | None = stage_to_parquet) -> DataFrame:
     """``df`` joined with a lookup on columns that may hold few values.  The
     lookup is written as a cut first: its files' bytes are known when the join
     is planned.  Up to the session's broadcast threshold the planner broadcasts
     it and the rows of ``df`` stay where they are; beyond, they are salted.
+    The salts are the session's partitions while the repeated lookup stays below
+    a quarter of the rows' bytes, else fewer, ``LEAST_SALTS`` at least.
     ``cut=None`` takes the planner's estimate of the lookup as it is."""
     kept = cut(lookup) if cut is not None else lookup
-    if planned_bytes(kept) <= broadcast_limit(df):
+    size = planned_bytes(kept)
+    if size <= broadcast_limit(df):
         return df.join(kept, list(on), how)
-    return salted_join(df, kept, on, how)
+    salts = max(LEAST_SALTS, planned_bytes(df) // (4 * max(size, 1)))
+    return salted_join(df, kept, on, how, min(salts, session_partitions(df)))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str,

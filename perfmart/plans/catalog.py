@@ -56,9 +56,20 @@ STAGE_KEYS: dict[str, str] = {
 _ORACLE_STAGE = {"index": "index_rows"}
 
 
-def stage_query(stage: str, csv: bool = False) -> Query:
+# The same steps where several peers have no sector row of their own, sectors lie
+# in one another's names and foreign periods carry their marker.
+WIDE_KEYS: dict[str, str] = {
+    "foreign_label_filter_wide": "filtered",
+    "except_values_wide": "uncovered",
+    "group_first_wide": "peer_sector",
+    "sector_fanout_wide": "sector",
+    "category_fallback_wide": "eaa",
+}
+
+
+def stage_query(stage: str, csv: bool = False, wide: bool = False) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        inputs = standin_inputs(spark, sf_dir, csv=csv)
+        inputs = standin_inputs(spark, sf_dir, csv=csv, wide=wide)
         return doubles(report_stages(inputs, STANDIN_CONFIG, upto=stage)[stage])
     run.__name__ = f"stage_{stage}"
     return run
@@ -71,6 +82,21 @@ def report_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(current_report(inputs, STANDIN_CONFIG))
 
 
+def report_mart_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole report on the wide stand-in (see ``WIDE_KEYS``)."""
+    return doubles(current_report(standin_inputs(spark, sf_dir, csv=True, wide=True), STANDIN_CONFIG))
+
+
+def empty_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No peer is uncovered, so the sector rows come from an empty frame of
+    (peersValue, sector) and only the label collapse is left."""
+    from pyspark.sql import functions as F
+
+    named = report_stages(standin_inputs(spark, sf_dir), STANDIN_CONFIG, upto="named")["named"]
+    none = spark.range(0).select(F.lit(None).cast("string").alias("peersValue"), F.lit(None).cast("string").alias("sector"))
+    return doubles(peers.sector_rows(named, none))
+
+
 def report_mart_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole report with the production schema: 53 pivot keys, 45 window
     keys, 57 output columns with the three shortened names."""
@@ -202,6 +228,15 @@ def _build() -> tuple[dict[str, Query], dict[str, str]]:
     for key, stage in STAGE_KEYS.items():
         queries[key] = stage_query(stage)
         sql[key] = oracle.stage_sql(_ORACLE_STAGE.get(stage, stage))
+    for key, stage in WIDE_KEYS.items():
+        queries[key] = stage_query(stage, wide=True)
+        sql[key] = oracle.stage_sql(_ORACLE_STAGE.get(stage, stage), wide=True)
+    queries["report_mart_wide"] = report_mart_wide
+    sql["report_mart_wide"] = oracle.stage_sql("cloned", wide=True)
+    queries["empty_frame"] = empty_frame
+    sql["empty_frame"] = oracle.stage_sql(
+        "named", "SELECT * REPLACE (CASE WHEN groupInvestment LIKE '%IA%' AND isin IS NULL "
+                 "THEN 'IA SECTOR' ELSE groupInvestment END AS groupInvestment) FROM named")
     queries["unpivot_structs"] = unpivot_structs
     sql["unpivot_structs"] = oracle.stage_sql("bench")
     queries["collapse_label"] = collapse_label

@@ -33,11 +33,15 @@ def _cols(cols) -> str:
 
 _WEEK = "cast(date_trunc('week', e.ts) AS DATE)"
 
-def _standin_ctes(extra_attributes=()) -> str:
+def _standin_ctes(extra_attributes=(), wide: bool = False) -> str:
     extra = "".join(
         f",\n    'v' || cast((f.n_nationkey + {i}) % 5 AS VARCHAR) AS {q(a)}"
         for i, a in enumerate(extra_attributes))
-    return STANDIN_CTES.replace("/*EXTRA*/", extra)
+    sql = STANDIN_CTES.replace("/*EXTRA*/", extra)
+    if wide:
+        sql = sql.replace("/*WIDE1*/", " AND c.c_mktsegment IN ('AUTOMOBILE', 'BUILDING')").replace(
+            "/*WIDE2*/", "      WHEN e.event_id % 20 = 19 THEN 'W-1 CEL UKCE UKCED UKCP UKCGB ' || f.code || ' Funds'\n")
+    return sql
 
 
 STANDIN_CTES = f"""
@@ -47,7 +51,7 @@ fund AS (
       WHEN 'FURNITURE' THEN 'CFB' WHEN 'HOUSEHOLD' THEN 'CCR' WHEN 'MACHINERY' THEN 'CS'
       ELSE c.c_mktsegment END AS code,
     c.c_custkey % 4 AS kind,
-    CASE WHEN r.r_regionkey = 1 AND c.c_custkey % 4 = 3 THEN NULL
+    CASE WHEN r.r_regionkey = 1 AND c.c_custkey % 4 = 3/*WIDE1*/ THEN NULL
       ELSE 'LU' || lpad(cast(c.c_custkey AS VARCHAR), 10, '0') END AS isin,
     CASE WHEN c.c_custkey % 4 = 0 THEN 'House ' || c.c_name
       WHEN r.r_regionkey = 1 THEN 'IA ' || n.n_name || ' Sector'
@@ -76,7 +80,7 @@ staging AS (
       WHEN e.event_id % 10 = 7 THEN 'UK Funds W-1'
       WHEN e.event_id % 10 = 8 THEN CASE f.code WHEN 'CI' THEN 'CGC & CFG'
         WHEN 'CFB' THEN 'CCR & CEMD' WHEN 'CCR' THEN 'CFB' ELSE f.code || ' EUR' END
-      ELSE 'Top ' || f.code || ' Funds' END AS metricPeriodType,
+/*WIDE2*/      ELSE 'Top ' || f.code || ' Funds' END AS metricPeriodType,
     {_WEEK} AS startDate,
     {_WEEK} + 6 AS endDate,
     DATE '2015-01-01' + cast(f.c_custkey AS INTEGER) AS inceptionDate,
@@ -362,10 +366,10 @@ _AS_DOUBLE = {"staging", "cleaned", "scoped", "relabelled", "reassigned", "norma
               "filtered", "prepared"}
 
 
-def stage_sql(stage: str, select: str | None = None, schema=SCHEMA) -> str:
-    """SQL of one step; ``schema`` other than the stand-in one (e.g. the full
+def stage_sql(stage: str, select: str | None = None, schema=SCHEMA, wide: bool = False) -> str:
+    """SQL of one step; ``wide``: on the stand-in with several uncovered peers; ``schema`` other than the stand-in one (e.g. the full
     production attribute list) adds nation-level attribute columns."""
     body = select or (f"SELECT * REPLACE (cast(metricValue AS DOUBLE) AS metricValue) FROM {stage}"
                       if stage in _AS_DOUBLE else f"SELECT * FROM {stage}")
     extra = [a for a in schema.attributes if a not in SCHEMA.attributes]
-    return f"WITH {_standin_ctes(extra)},{_stage_ctes(schema)}\n{body}"
+    return f"WITH {_standin_ctes(extra, wide)},{_stage_ctes(schema)}\n{body}"

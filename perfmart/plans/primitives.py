@@ -86,6 +86,22 @@ def replace_slice(spark, sf):
     return publish.read_published(spark, target).select("o_orderkey", "o_custkey", "o_totalprice", "date")
 
 
+@query("append_once", """
+SELECT o_orderkey, o_custkey, o_totalprice, cast(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders""")
+def append_once(spark, sf):
+    """S6 on shared files: every order is appended in two slices, one of them
+    twice, the second time dealt out otherwise; one copy is left."""
+    from perfmart.sources import ledger
+
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice",
+                                          F.to_date(F.date_trunc("month", "o_orderdate")).alias("month"))
+    target = scratch_path(spark, "appended")
+    early = F.col("month") < F.lit("1995-01-01").cast("date")
+    for rows, name in ((o.where(early), "early"), (o.where(~early), "late"), (o.where(early).repartition(5, "o_custkey"), "early")):
+        ledger.append_once(rows, target, name)
+    return ledger.read_appended(spark, target, o.schema)
+
+
 # -- projections ---------------------------------------------------------------
 
 @query("project_drop", "SELECT c_custkey, c_name, c_acctbal FROM customer")

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perfmart.config import HouseNames, ReportConfig, ReportSchema
+from perfmart.config import FOREIGN_PERIOD_MARKER, HouseNames, ReportConfig, ReportSchema
 from perfmart.sources.envelope import wrap
 from perfmart.sources.files import read_csv_lookup, write_csv_lookup
 from perfmart.session import scratch_path
@@ -76,8 +76,10 @@ def _case(c: Column, pairs, default: Column) -> Column:
     return out.otherwise(default)
 
 
-def fund_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with their nation and region: one row per fund."""
+def fund_frame(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
+    """Customers with their nation and region: one row per fund.  ``wide``: only
+    two segments have funds without an isin, so several peers have no sector row
+    and take over sectors that lie in one another's names."""
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
@@ -85,7 +87,10 @@ def fund_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
           .join(r, n.n_regionkey == r.r_regionkey))
     code = _case(F.col("c_mktsegment"), SEGMENT_CODES, F.col("c_mktsegment"))
     kind = F.col("c_custkey") % 4
-    isin = F.when((F.col("r_regionkey") == 1) & (kind == 3), F.lit(None).cast("string")) \
+    without = (F.col("r_regionkey") == 1) & (kind == 3)
+    if wide:
+        without = without & F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING")
+    isin = F.when(without, F.lit(None).cast("string")) \
             .otherwise(F.concat(F.lit("LU"), F.lpad(F.col("c_custkey").cast("string"), 10, "0")))
     group = (F.when(kind == 0, F.concat(F.lit("House "), F.col("c_name")))
               .when(F.col("r_regionkey") == 1, F.concat(F.lit("IA "), F.col("n_name"), F.lit(" Sector")))
@@ -106,14 +111,16 @@ def fund_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staging_envelope(spark: SparkSession, sf_dir: str,
-                     attributes: tuple[str, ...] = STANDIN_ATTRIBUTES) -> DataFrame:
-    """``attributes`` beyond the three stand-in ones (e.g. the full production
+                     attributes: tuple[str, ...] = STANDIN_ATTRIBUTES, wide: bool = False) -> DataFrame:
+    """``wide``: as in ``fund_frame``; every twentieth event carries the marker
+    of foreign periods.  ``attributes`` beyond the three stand-in ones (e.g. the full production
     list) are filled with nation-level labels, so they never split a group."""
     e = table(spark, sf_dir, "events")
-    f = fund_frame(spark, sf_dir)
+    f = fund_frame(spark, sf_dir, wide)
     d = e.join(f, e.user_id == f.c_custkey)
     code = F.col("code")
     m = F.col("event_id") % 10
+    marked = F.lit(wide) & (F.col("event_id") % 20 == 19)
     odd = (F.col("event_id") % 2) == 1
     period = (F.when(m <= 1, F.lit("1 week")).when(m == 2, F.lit("3 months"))
                .when(m == 3, F.lit("YTD")).when(m == 4, F.lit("1 year"))
@@ -121,7 +128,7 @@ def staging_envelope(spark: SparkSession, sf_dir: str,
                .when(m == 7, F.lit("UK Funds W-1"))
                .when(m == 8, _case(code, (("CI", "CGC & CFG"), ("CFB", "CCR & CEMD"), ("CCR", "CFB")),
                                    F.concat(code, F.lit(" EUR"))))
-               .otherwise(F.concat(F.lit("Top "), code, F.lit(" Funds"))))
+               .otherwise(F.concat(F.when(marked, F.lit("W-1 " + FOREIGN_PERIOD_MARKER + " ")).otherwise(F.lit("Top ")), code, F.lit(" Funds"))))
     metric = (F.when(F.col("event_type") == "purchase",
                      F.when(odd, F.lit("Return (Ann)")).otherwise(F.lit("Return (Cum)")))
                .when(F.col("event_type") == "view",
@@ -163,10 +170,10 @@ def staging_envelope(spark: SparkSession, sf_dir: str,
     return wrap(flat, fields, ["sourceFileName"])
 
 
-def _weekly_house(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _weekly_house(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
     """Weekly benchmark sums per own fund (kind 0)."""
     e = table(spark, sf_dir, "events")
-    f = fund_frame(spark, sf_dir).where(F.col("kind") == 0)
+    f = fund_frame(spark, sf_dir, wide).where(F.col("kind") == 0)
     d = e.join(f, e.user_id == f.c_custkey)
     dec = F.col("value").cast("decimal(18,2)")
 
@@ -227,10 +234,10 @@ class ReportInputs:
 
 
 def standin_inputs(spark: SparkSession, sf_dir: str, csv: bool = False,
-                   attributes: tuple[str, ...] = STANDIN_ATTRIBUTES) -> ReportInputs:
-    weekly = _weekly_house(spark, sf_dir)
+                   attributes: tuple[str, ...] = STANDIN_ATTRIBUTES, wide: bool = False) -> ReportInputs:
+    weekly = _weekly_house(spark, sf_dir, wide)
     return ReportInputs(
-        staging=staging_envelope(spark, sf_dir, attributes),
+        staging=staging_envelope(spark, sf_dir, attributes, wide),
         main_feed=main_feed_envelope(spark, sf_dir, weekly),
         share_feed=share_feed_envelope(spark, sf_dir, weekly=weekly),
         transco=transco_csv(spark, sf_dir) if csv else transco_frame(spark, sf_dir),
