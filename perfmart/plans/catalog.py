@@ -87,6 +87,15 @@ def report_mart_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(current_report(standin_inputs(spark, sf_dir, csv=True, wide=True), STANDIN_CONFIG))
 
 
+def propagate_dates_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C24 on a bucketed cut: the rows are dealt out once, when they are stored."""
+    from perfmart.operators.colocated import bucketed_cut
+    from perfmart.operators.periods import DATE_KEYS, propagate_stored_dates
+
+    sector = report_stages(standin_inputs(spark, sf_dir), STANDIN_CONFIG, upto="sector")["sector"]
+    return doubles(propagate_stored_dates(bucketed_cut(sector, DATE_KEYS)))
+
+
 def empty_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No peer is uncovered, so the sector rows come from an empty frame of
     (peersValue, sector) and only the label collapse is left."""
@@ -233,6 +242,8 @@ def _build() -> tuple[dict[str, Query], dict[str, str]]:
         sql[key] = oracle.stage_sql(_ORACLE_STAGE.get(stage, stage), wide=True)
     queries["report_mart_wide"] = report_mart_wide
     sql["report_mart_wide"] = oracle.stage_sql("cloned", wide=True)
+    queries["propagate_dates_colocated"] = propagate_dates_colocated
+    sql["propagate_dates_colocated"] = oracle.stage_sql("periods")
     queries["empty_frame"] = empty_frame
     sql["empty_frame"] = oracle.stage_sql(
         "named", "SELECT * REPLACE (CASE WHEN groupInvestment LIKE '%IA%' AND isin IS NULL "
