@@ -3,8 +3,10 @@
 Words are runs of letters and digits, lower-cased.  Every common word (see
 ``COMMON``) is an anchor; it and the ``CHAIN`` content words that follow it,
 passing over other common words, form a signature, kept as eight hexadecimal
-digits of its MD5.  The beginning of the text is an anchor as well, so each text
-with a word has a signature.  A fingerprint is the sorted distinct signatures
+digits of its MD5.  Content words of a fixed hash class, one in four (``CLASS``),
+are anchors as well, so a stretch or a text without common words (tables, code,
+other languages) has signatures all along, too.  The beginning of the text is an
+anchor, so each text with a word has a signature.  A fingerprint is the sorted distinct signatures
 joined by spaces: equal texts have equal fingerprints, and a null, empty or
 wordless text has the empty one.  Likeness is the Jaccard similarity of the
 signature sets; two empty sets are alike (1.0), an empty and another are not.
@@ -38,6 +40,8 @@ también te tiene todo tu un una uno ya
 """.split()
 CHAIN = 2
 DIGITS = 8
+#: First hexadecimal digits of a content word's MD5 that make it an anchor.
+CLASS = "0123"
 THRESHOLD = 0.8
 
 
@@ -61,10 +65,13 @@ def signatures(df: DataFrame, text: str, out: str, chain: int = CHAIN) -> DataFr
     spots = F.transform(stops, lambda p, k: F.when(
         p - k < F.size(content),
         digest(F.get(words, p), *[F.get(content, p - k + j) for j in range(chain)])))
+    hashed = F.transform(content, lambda w, i: F.when(
+        F.substring(F.md5(w.cast("binary")), 1, 1).isin(*CLASS) & (i + 1 < F.size(content)),
+        digest(w, *[F.get(content, i + 1 + j) for j in range(chain)])))
     opening = F.when(F.size(words) > 0, digest(F.lit("^"), F.array_join(F.slice(
         F.when(F.size(content) > 0, F.col(content)).otherwise(F.col(words)), 1, chain), " ")))
     return df.select(*kept, F.array_sort(F.array_distinct(F.filter(
-        F.concat(F.array(opening), spots), lambda s: s.isNotNull()))).alias(out))
+        F.concat(F.array(opening), spots, hashed), lambda s: s.isNotNull()))).alias(out))
 
 
 def fingerprint(signature_set: Column) -> Column:
@@ -179,7 +186,9 @@ def _sql_signatures(name: str, source: str, text: str) -> str:
 {name} AS (SELECT doc_id, list_sort(list_distinct(list_concat(
     CASE WHEN len(w) > 0 THEN [left(md5('^ ' || array_to_string(CASE WHEN len(c) > 0 THEN c[1:2] ELSE w[1:2] END, ' ')), 8)] ELSE [] END,
     list_filter(list_transform(p, lambda x, k: CASE WHEN x - k < len(c) THEN
-        left(md5(concat_ws(' ', w[x], c[x - k + 1], c[x - k + 2])), 8) END), lambda y: y IS NOT NULL)))) AS s FROM {name}_c)"""
+        left(md5(concat_ws(' ', w[x], c[x - k + 1], c[x - k + 2])), 8) END), lambda y: y IS NOT NULL),
+    list_filter(list_transform(c, lambda x, k: CASE WHEN left(md5(x), 1) IN ({", ".join(f"'{d}'" for d in CLASS)}) AND k < len(c) THEN
+        left(md5(concat_ws(' ', x, c[k + 1], c[k + 2])), 8) END), lambda y: y IS NOT NULL)))) AS s FROM {name}_c)"""
 
 
 ORACLE_OP1 = f"""

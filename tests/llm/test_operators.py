@@ -298,3 +298,18 @@ def test_an_id_with_two_texts(spark):
     rows = {(r.id, r.n, r.component, r.first) for r in ngram_join.linked_rows(docs, 5, 80, one_node=False).collect()}
     assert rows == {(1, 56, 1, True), (2, 57, 1, False), (2, 56, 2, True), (3, 57, 2, False), (4, 56, 4, True), (5, 0, 5, True),
                     (5, 57, 4, False), (6, 1, 6, True), (None, 56, 2, None)}
+
+
+def test_texts_without_common_words_have_anchors_all_along(spark):
+    """Tables, word lists and code: their near copies are alike, others that
+    begin like them are not."""
+    rng = random.Random(12)
+    words = lambda n: " | ".join("".join(rng.choice("bcdfgkz") for _ in range(6)) for _ in range(n))
+    base = words(400)
+    parts = base.split(" | ")
+    edited = " | ".join([*parts[:300], *words(100).split(" | ")])
+    other = " | ".join([*parts[:3], *words(397).split(" | ")])
+    docs = spark.createDataFrame([(1, base, edited), (2, base, other)], "doc_id long, a string, b string")
+    near, far = [r.l for r in spotsigs.signatures(spotsigs.signatures(docs, "a", "s"), "b", "t").select(
+        "doc_id", spotsigs.likeness(F.col("s"), F.col("t")).alias("l")).orderBy("doc_id").collect()]
+    assert 0.45 < near < 0.75 and far < 0.1
