@@ -110,7 +110,8 @@ def test_scan_pushdown_and_pruning(spark):
 
 
 def test_building_the_report_collects_no_rows(spark):
-    """Operators run no job while a plan is built: nothing but the cuts does."""
+    """No rows come to the driver while a plan is built: the names of metrics,
+    one date and one number of buckets are all that does."""
     import ast
     import pathlib
 
@@ -121,7 +122,7 @@ def test_building_the_report_collects_no_rows(spark):
             if name in ("collect", "limit", "toPandas", "first", "head", "take", "count") and isinstance(node.func.value, ast.Call):
                 where = [f.name for f in ast.walk(ast.parse(path.read_text()))
                          if isinstance(f, ast.FunctionDef) and f.lineno <= node.lineno <= f.end_lineno]
-                assert where == ["discover_values"], (path.name, node.lineno)
+                assert where and set(where) <= {"discover_values", "latest_counted_date", "buckets_of"}, (path.name, node.lineno)
 
 
 def test_registered_queries_read_whole_tables(spark):
