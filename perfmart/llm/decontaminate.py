@@ -202,11 +202,11 @@ def dealt(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_W
 def gram_filter(pieces: DataFrame, window: int) -> np.ndarray:
     """A bitmap of the grams of three words of all items (all words of shorter ones)."""
     def make():
-        def fn(batch: pa.RecordBatch) -> np.ndarray:
+        def fn(batch: pa.RecordBatch) -> list[np.ndarray]:
             words = Words(batch.column(0).to_pylist(), ALNUM, lower=True)
             n = np.diff(words.first)
             size = np.repeat(np.minimum(np.minimum(n, window), 3), n)  # of the grams of each word's item
-            return np.concatenate([np.zeros(0, np.uint64), *[_grams(words, q)[words.whole(q) & (size == q)] for q in (1, 2, 3)]])
+            return [_grams(words, q)[words.whole(q) & (size == q)] for q in (1, 2, 3)]
         return fn
 
     n = pieces.agg(F.sum("n").alias("n")).first().n or 0

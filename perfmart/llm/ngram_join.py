@@ -96,10 +96,7 @@ FEATURES = ("id bigint, n bigint, d1 bigint, d2 bigint, common float, "
 def commonness(docs: DataFrame, k: int):
     """Levels of the corpus's shingles in a counting sketch (broadcast: its size is bounded)."""
     def hashes():
-        def fn(batch: pa.RecordBatch) -> np.ndarray:
-            found = [shingles(text_bytes(p.column(0), "text"), k)[1] for p in slices(batch, "text")]
-            return np.concatenate(found) if found else np.zeros(0, np.uint64)
-        return fn
+        return lambda batch: (shingles(text_bytes(p.column(0), "text"), k)[1] for p in slices(batch, "text"))
 
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     bits = min(SKETCH_BITS, max(CHUNK_BITS, (size // SKETCH_BYTES).bit_length()))

@@ -17,17 +17,17 @@ CHUNK_BITS = 16
 SALTS = 64
 
 
-def count_sketch(rows: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], np.ndarray]], bits: int) -> np.ndarray:
+def count_sketch(rows: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[np.ndarray]]], bits: int) -> np.ndarray:
     """2**bits levels (bytes): 0 where nothing fell, else 1 + 4 * log2(count).
-    ``make()`` runs once a task; its function gives the hashes of a batch."""
+    ``make()`` runs once a task; its function gives the hashes of a batch, piece
+    by piece."""
     chunk = 1 << CHUNK_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         hashes = make()
         counts = np.zeros(1 << bits, dtype=np.uint32)
-        for batch in batches:
-            h = hashes(batch)
+        for h in (h for batch in batches for h in hashes(batch)):
             if len(h):
                 at, n = np.unique(h & np.uint64((1 << bits) - 1), return_counts=True)
                 counts[at.astype(np.int64)] += n.astype(np.uint32)
