@@ -44,6 +44,8 @@ BLOCK = 1_024
 #: Turns that a conversation can take over from the first of its family.
 HEAD = 8
 FAMILY = 5
+#: Tasks over which the nodes that hang on one boundary node are spread.
+SALTS = 16
 
 
 def sequences(rows: DataFrame) -> DataFrame:
@@ -264,7 +266,7 @@ def prefix_trie(found: DataFrame, shard_turns: int = SHARD_TURNS) -> DataFrame:
     here = (F.col("owner.shard") == F.col("shard")) & (F.col("owner.side") == F.col("side"))
     path = Window.partitionBy("shard", "side").orderBy(F.desc("depth")).rowsBetween(Window.unboundedPreceding, 0)
     below = (salted_join(paths.select("shard", "side", "depth", "key"),
-                         own.select("key", "owner", "n_leaves", "saved_tokens"), ["key"])
+                         own.select("key", "owner", "n_leaves", "saved_tokens"), ["key"], salts=SALTS)
              .select("key", *[F.sum(F.when(here, F.col(c)).otherwise(0)).over(path).alias(c) for c in ("n_leaves", "saved_tokens")])
              .groupBy("key").agg(F.sum("n_leaves").alias("n_leaves"), F.sum("saved_tokens").alias("saved_tokens")))
     names = own.select(F.col("key").alias("parent_key"), F.col("conv_id").alias("parent_conv_id"))
@@ -273,7 +275,7 @@ def prefix_trie(found: DataFrame, shard_turns: int = SHARD_TURNS) -> DataFrame:
     whole = parts.where(F.col("side").isNull()).withColumnRenamed("ends", "ends_sha256")
     inner = whole.where(F.col("parent_key").isNull()).select(*RESULT)
     # very many nodes may hang on one boundary node (the root above all)
-    outer = salted_join(whole.where(F.col("parent_key").isNotNull()).drop("parent_conv_id"), names, ["parent_key"]).select(*RESULT)
+    outer = salted_join(whole.where(F.col("parent_key").isNotNull()).drop("parent_conv_id"), names, ["parent_key"], salts=SALTS).select(*RESULT)
     return merged.unionByName(inner).unionByName(outer)
 
 
