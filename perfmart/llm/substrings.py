@@ -372,7 +372,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW,
     hits = covered(docs.select(F.col(key).cast("bigint").alias("id"), "text"), window, split, shard_words, most)
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
                       F.col(key).cast("bigint").alias("id"), F.xxhash64("text").alias("tag"))
-    rows = own.join(hits, ["id", "tag"], "left").select("doc", "whole", "starts", F.col("doc.text").alias("text"))
+    rows = own.join(hits, ["id", "tag"], "left").select("doc", "whole", "starts")
     return _applied(rows, window, carry or docs.columns)
 
 
@@ -381,13 +381,13 @@ def _applied(rows: DataFrame, window: int, carry: list[str]) -> DataFrame:
 
     out = StructType([StructField("row", StructType([rows.schema["doc"].dataType[c] for c in carry]), False),
                       *StructType.fromDDL(FIELDS).fields])
-    packed = rows.select(F.struct("doc", "whole", "starts", "text").alias("row"))
+    packed = rows.select(F.struct("doc", "whole", "starts").alias("row"))  # the text travels once, in the document
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "doc.text"):
                 r = part.column(0)
-                texts = text_bytes(r, "text")
+                texts = text_bytes(r, "doc.text")
                 done = apply(list(zip(r.field("whole").to_pylist(), r.field("starts"), strict=True)), texts, window)
                 doc = r.field("doc")
                 keep = pa.StructArray.from_arrays([doc.field(c) for c in carry], names=carry)

@@ -56,13 +56,13 @@ def annotate(docs: DataFrame, fields: str, make: Callable[[], Callable[[list], l
 
 
 def text_bytes(rows: pa.StructArray, text: str) -> list:
-    """The texts as bytes or None."""
-    return pc.struct_field(rows, [text]).cast(pa.binary()).to_pylist()
+    """The texts as bytes or None.  ``text``: a field, or a path of fields with dots."""
+    return pc.struct_field(rows, text.split(".")).cast(pa.binary()).to_pylist()
 
 
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about ``limit`` bytes of text."""
-    size = pc.fill_null(pc.binary_length(pc.struct_field(batch.column(0), [text])), 0).to_numpy(zero_copy_only=False)
+    size = pc.fill_null(pc.binary_length(pc.struct_field(batch.column(0), text.split("."))), 0).to_numpy(zero_copy_only=False)
     at = np.cumsum(size.astype(np.int64) + 64)
     i = 0
     while i < batch.num_rows:
