@@ -12,10 +12,11 @@ the universe, and judging a URL needs no join: the levels are literals.
 
 The first level's error rate is set to listed / universe, so the levels grow
 with the list (times the logarithm of the universe), not with the corpus, and
-so does what the driver holds: listed keys, level 1's mistakes and the bits.
+so does what the driver holds: the bits.
 
 A null URL, or one without ``://``, has an empty host and path and fits no rule.
-Repeated URLs get equal verdicts.  An empty list blocks nothing.
+Repeated URLs get equal verdicts.  An empty list blocks nothing.  Of listed keys
+of one length that fit one URL (``b.net/`` and ``net/ab``) the larger string wins.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from perfmart.llm.components import saved
 from perfmart.llm.text import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -82,9 +84,8 @@ def cascade(listed: DataFrame, universe: DataFrame) -> list[Level]:
     level = build_level(listed, n, min(0.5, n / max(1, total)), 0)
     levels = [level]
     inside, outside = listed, universe.select("key").where(level.has(F.col("key"))).distinct().join(listed, "key", "left_anti")
-    spark = listed.sparkSession
-    outside = spark.createDataFrame(outside.collect(), "key string")  # about as many as listed keys
-    inside = spark.createDataFrame(inside.collect(), "key string")
+    outside = saved(outside, "unlisted-keys")  # about as many as listed keys
+    inside = saved(inside, "listed-keys")
     while (m := outside.count()):
         level = build_level(outside, m, 0.5, len(levels))
         levels.append(level)
@@ -142,8 +143,9 @@ def judge(pages: DataFrame, rules: DataFrame, unlisted: str = UNLISTED) -> DataF
 
 
 def rule_table(spark: SparkSession, rules: dict[str, str] = RULES) -> DataFrame:
-    return spark.createDataFrame([(k[:k.index("/")], k[k.index("/"):], v) for k, v in rules.items()],
-                                 "host string, path string, verdict string")
+    each = [F.struct(F.lit(k[:k.index("/")]).alias("host"), F.lit(k[k.index("/"):]).alias("path"), F.lit(v).alias("verdict"))
+            for k, v in rules.items()]
+    return spark.range(1).select(F.inline(F.array(*each)))
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
