@@ -248,20 +248,22 @@ def _stretches(words: Words, bitmap: np.ndarray, lengths: list[int]) -> list[lis
     return out
 
 
-def _merged(spans: list) -> list:
-    out: list = []
-    for a, b, start, stop in sorted(tuple(s) for s in spans):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]), out[-1][2], max(stop, out[-1][3]))
-        else:
-            out.append((a, b, start, stop))
-    return out
-
-
 SPANS = "array<struct<a:int,b:int,from:int,to:int>>"
 STRETCHES = "array<struct<at:int,data:binary,digest:binary,from:array<int>,to:array<int>,keys:array<bigint>>>"
 
 
+def merged(spans: Column) -> Column:
+    """The spans in order, those that meet or overlap joined to one."""
+    def add(out: Column, s: Column) -> Column:
+        last = F.get(out, F.size(out) - 1)
+        longer = F.struct(last["a"].alias("a"), F.greatest(last["b"], s["b"]).alias("b"),
+                          last["from"].alias("from"), F.greatest(last["to"], s["to"]).alias("to"))
+        return F.when(s["a"] <= last["b"], F.concat(F.slice(out, 1, F.size(out) - 1), F.array(longer))).otherwise(
+            F.concat(out, F.array(s)))
+
+    return F.aggregate(F.array_sort(spans), F.array().cast(SPANS), add)
+
+
 def block_hits(stretches: DataFrame, pieces: DataFrame, window: int) -> DataFrame:
     """(digest, a, b, items) of the distinct ``stretches`` (digest, data, keys):
     each block with a slice of the stretches that have one of its keys."""
@@ -312,10 +314,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     spans = F.transform(F.arrays_zip("a", "b"), lambda x: F.struct(
         (x["a"] + F.col("at")).alias("a"), (x["b"] + F.col("at")).alias("b"),
         F.get("from", x["a"]).alias("from"), F.get("to", x["b"] - 1).alias("to")))
-    merged = F.udf(_merged, SPANS, useArrow=False)
     found = (each.select("place", "at", "digest", "from", "to").join(hits, "digest").select("place", spans.alias("spans"), "items")
                  .groupBy("place").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_set("items")).alias("items"))
-                 .select("place", merged("spans").alias("spans"), F.array_sort(F.array_distinct("items")).alias("items")))
+                 .select("place", merged(F.col("spans")).alias("spans"), F.array_sort(F.array_distinct("items")).alias("items")))
     none = [F.array().cast(SPANS), F.array().cast("array<string>")]
     clean = read.where(F.size("stretches") == 0).select("row", "words", none[0].alias("spans"), none[1].alias("items"))
     suspect = read.where(F.size("stretches") > 0).select("place", "row", "words").join(found, "place", "left")
