@@ -18,6 +18,15 @@ from pyspark.sql.types import StructField, StructType
 
 #: Text bytes handled at once inside a task; one longer text is a slice of its own.
 SLICE_BYTES = 1 << 19
+#: Bytes of an Arrow batch between Spark and Python, in sessions that do not set them
+#: (Spark's own limit is 64 MB, which the JVM and the worker both hold).
+BATCH_BYTES, _BATCH_SETTING = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by ``BATCH_BYTES``; a setting of the session stays."""
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:

@@ -3,7 +3,8 @@
 The cache is a Parquet table of (content digest, tokenizer digest, tokens).
 Texts are normalised (null reads as empty; nothing else, as every other change
 could alter the count), digested with SHA-256, and joined to the stored counts
-of the same tokenizer file.  Only distinct misses are encoded; their counts are
+of the same tokenizer file.  Only distinct misses are encoded, each where one of
+its rows is read, so digests are shuffled and texts are not; their counts are
 appended, and the documents read their counts from the cache.
 
 Appending is safe to repeat: the cache may hold an entry twice with the same
@@ -16,7 +17,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perfmart.llm.components import saved
-from perfmart.llm.text import SLICE_BYTES, table
+from perfmart.llm.sketch import id_filter
+from perfmart.llm.text import SLICE_BYTES, bound_batches, table
 from perfmart.session import scratch_path
 
 #: Distinct words that a task remembers (about 150 bytes each).
@@ -138,11 +140,14 @@ def cached(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], CACHE)
 
 
-def encode_misses(misses: DataFrame, path: str, version: str) -> DataFrame:
-    """(content, tokenizer, tokens) of each row (content, text)."""
+def encode_misses(misses: DataFrame, path: str, version: str, wanted: Callable | None = None) -> DataFrame:
+    """(content, tokenizer, tokens) of each row (content, text); with ``wanted``,
+    a test of places, of those rows (content, text, place) that pass it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(path)
         for batch in batches:
+            if wanted is not None:
+                batch = batch.filter(pa.array(wanted(batch.column(2).to_numpy())))
             keys, texts = batch.column(0), batch.column(1).to_pylist()
             i = 0
             while i < len(texts):
@@ -156,7 +161,21 @@ def encode_misses(misses: DataFrame, path: str, version: str) -> DataFrame:
                     ["content", "tokenizer", "tokens"])
                 i = j
 
-    return misses.select("content", "text").mapInArrow(run, CACHE)
+    columns = ["content", "text"] + (["place"] if wanted is not None else [])
+    return misses.select(*columns).mapInArrow(run, CACHE)
+
+
+def encode_where_they_are(marked: DataFrame, misses: DataFrame, path: str, version: str) -> DataFrame:
+    """The counts of ``misses`` (content, place) by one row each of ``marked``
+    (content, text, place), found by a filter of the places, so that no text is
+    shuffled; the rows that pass it by mistake are left out at the end.  A content
+    whose row has another place in this reading of the rows may lack."""
+    wanted = id_filter(misses.select("place"))
+    if wanted is None:
+        return encode_misses(marked.join(misses, ["content", "place"], "left_semi"), path, version)
+    found = encode_misses(marked, path, version, wanted)
+    return (found.join(misses.select("content"), "content", "left_semi")
+                 .groupBy("content", "tokenizer").agg(F.max("tokens").alias("tokens")))
 
 
 def token_counts(docs: DataFrame, path: str, cache: str) -> DataFrame:
@@ -164,16 +183,25 @@ def token_counts(docs: DataFrame, path: str, cache: str) -> DataFrame:
     ``path``: tokenizer file; ``cache``: folder of the cache, which gets the
     counts of new contents."""
     spark = docs.sparkSession
+    bound_batches(spark)
     version = tokenizer_digest(path)
     text = F.coalesce(F.col("text"), F.lit(""))
-    stored = cached(spark, cache).where(F.col("tokenizer") == version)
-    distinct = (docs.select(F.sha2(text, 256).alias("content"), text.alias("text"))
-                    .join(stored.select("content"), "content", "left_anti")
-                    .groupBy("content").agg(F.first("text").alias("text")))
-    encode_misses(distinct, path, version).write.mode("append").parquet(cache)
+
+    def stored() -> DataFrame:
+        return cached(spark, cache).where(F.col("tokenizer") == version)
+
+    marked = docs.select(F.sha2(text, 256).alias("content"), text.alias("text"), F.monotonically_increasing_id().alias("place"))
+    misses = saved(marked.groupBy("content").agg(F.min("place").alias("place"))
+                         .join(stored().select("content"), "content", "left_anti"), "token-misses")
+    if not misses.isEmpty():
+        encode_where_they_are(marked, misses, path, version).write.mode("append").parquet(cache)
+        # rows that were read in another order the second time: their texts travel
+        rest = saved(misses.join(stored().select("content"), "content", "left_anti").select("content"), "token-misses")
+        if not rest.isEmpty():
+            texts = marked.join(rest, "content", "left_semi").groupBy("content").agg(F.first("text").alias("text"))
+            encode_misses(texts, path, version).write.mode("append").parquet(cache)
     # written, so that both sides of the join are plain tables and a hot content is split
-    counts = saved(cached(spark, cache).where(F.col("tokenizer") == version)
-                   .groupBy("content").agg(F.max("tokens").alias("tokens")), "token-counts")
+    counts = saved(stored().groupBy("content").agg(F.max("tokens").alias("tokens")), "token-counts")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"),
                        F.octet_length(text).cast("bigint").alias("bytes"), F.sha2(text, 256).alias("content"))
     return rows.join(counts, "content").drop("content")
