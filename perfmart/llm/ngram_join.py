@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from perfmart.llm.components import components, saved
 from perfmart.llm.sketch import CHUNK_BITS, count_sketch, id_filter
-from perfmart.llm.text import NOT_SPACE, Words, mix, slices, table, text_bytes
+from perfmart.llm.text import NOT_SPACE, Words, bound_batches, mix, slices, table, text_bytes
 
 #: Counters of the sketch: one for so many bytes of text, 2**SKETCH_BITS at most (64 MB in a task).
 SKETCH_BITS, SKETCH_BYTES = 24, 64
@@ -241,6 +241,7 @@ def linked_rows(docs: DataFrame, k: int = 5, percent: int = 80, one_node: bool =
     smallest id of its component, and whether the row is the component's first
     text.  ``tag`` tells apart the texts of an id that has several (the hash of
     the text, else null); ``first`` is null for a row without an id; ``one_node``: whether these are linked."""
+    bound_batches(docs.sparkSession)
     repeated = saved(docs.where(F.col("id").isNotNull()).groupBy("id").agg(
         F.min(F.xxhash64("text")).alias("x"), F.max(F.xxhash64("text")).alias("y")).where("x <> y").select("id"), "repeated-ids")
     if repeated.isEmpty():

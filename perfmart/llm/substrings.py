@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from perfmart.llm.components import saved
 from perfmart.llm.sketch import FILTER_BITS, id_filter
-from perfmart.llm.text import NOT_SPACE, Words, mix, slices, table, text_bytes
+from perfmart.llm.text import NOT_SPACE, Words, bound_batches, mix, slices, table, text_bytes
 
 WINDOW = 50
 GRAM = 20
@@ -369,6 +369,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW,
     """``row`` (the document) with its number of ``words``, those ``removed``,
     the ``kept`` words joined by one space, and the ``rest`` of the text, which
     keeps the white space between kept words."""
+    bound_batches(docs.sparkSession)
     hits = covered(docs.select(F.col(key).cast("bigint").alias("id"), "text"), window, split, shard_words, most)
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
                       F.col(key).cast("bigint").alias("id"), F.xxhash64("text").alias("tag"))
