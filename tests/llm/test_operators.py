@@ -167,6 +167,45 @@ def test_second_run_encodes_no_misses(spark, tables, monkeypatch, tmp_path):
     assert other.count() == 4 and spark.read.parquet(cache).count() == 2 * sizes
 
 
+def test_counts_without_a_stable_row_order(spark, tables, monkeypatch, tmp_path):
+    """Rows that have other places at the second reading are counted all the same;
+    so are rows found by a join, where the filter would be too large."""
+    import public_tokenizers
+    docs = table(spark, tables(documents=(DOCUMENTS, documents(["a b", "a b", None, "c", "d e f", "d e f"] * 5))), "documents", "doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    key = lambda cache: sorted(map(str, token_counts.token_counts(docs, path, str(tmp_path / cache)).collect()))
+    want = key("a")
+    assert len(want) == 30
+    monkeypatch.setattr(token_counts, "id_filter", lambda ids: lambda x: np.zeros(len(x), dtype=bool))
+    assert key("b") == want
+    monkeypatch.setattr(token_counts, "id_filter", lambda ids: lambda x: np.ones(len(x), dtype=bool))
+    assert key("c") == want
+    monkeypatch.setattr(token_counts, "id_filter", lambda ids: None)
+    assert key("d") == want
+    assert all(spark.read.parquet(str(tmp_path / c)).count() == 4 for c in "abcd")
+
+
+def test_merged_spans(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(60):
+        spans = [(a, a + rng.randint(1, 4)) for a in (rng.randrange(40) for _ in range(rng.randrange(12)))]
+        rows.append((i, [(a, b, 10 * a, 10 * b - 1) for a, b in spans]))
+    found = spark.createDataFrame(rows, f"i int, spans {decontaminate.SPANS}").select("i", decontaminate.merged(F.col("spans")).alias("m")).collect()
+    for r in found:
+        inside = sorted({x for a, b, _, _ in rows[r.i][1] for x in range(a, b)})
+        first = [x for x in inside if x - 1 not in inside]
+        last = [x for x in inside if x + 1 not in inside]
+        assert [tuple(s) for s in r.m] == [(a, b + 1, 10 * a, 10 * b + 9) for a, b in zip(first, last, strict=True)]
+
+
+def test_rules_of_one_length(spark):
+    pages = spark.createDataFrame([(1, "http://b.net/abc"), (2, "http://b.net/x"), (3, "http://c.net/ab"), (4, None)], "page_id long, url string")
+    rules = url_filter.rule_table(spark, {"b.net/": "block", "net/ab": "allow"})
+    found = {r.i: (r.rule, r.verdict) for r in url_filter.judge(pages, rules).select(F.col("row.page_id").alias("i"), "rule", "verdict").collect()}
+    assert found == {1: ("net/ab", "allow"), 2: ("b.net/", "block"), 3: ("net/ab", "allow"), 4: (None, "allow")}
+
+
 def test_merge_rounds_equal_one_merge_at_a_time():
     coder = pieces.Coder(pieces.model_path())
     v, rng = coder.vocabulary, random.Random(12)
