@@ -22,6 +22,7 @@ LEAST_SCORE = 0.05
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: documents go that have no letter, or whose n-grams are no
     closer to any language than chance (cosine under ``LEAST_SCORE``)."""
+    text.bound_batches(spark)
     training = docs.where(language.fold(F.col("doc_id"), 3) != 1).select("text", "lang")
     found = language.predict(docs, language.prototypes(training))
     return found.where((F.col("lang_pred") != language.UND) & (F.col("score") >= LEAST_SCORE)).select("row.*")
