@@ -352,3 +352,25 @@ def test_texts_without_common_words_have_anchors_all_along(spark):
     near, far = [r.l for r in spotsigs.signatures(spotsigs.signatures(docs, "a", "s"), "b", "t").select(
         "doc_id", spotsigs.likeness(F.col("s"), F.col("t")).alias("l")).orderBy("doc_id").collect()]
     assert 0.45 < near < 0.75 and far < 0.1
+
+
+def test_sketch_sends_little_and_adds_exactly(spark):
+    import zlib
+
+    from perfmart.llm import sketch
+
+    rng = np.random.default_rng(3)
+    sparse = np.bincount(rng.integers(0, 1 << 16, 20_000), minlength=1 << 16)
+    sparse[5] = 70_000
+    assert len(sketch.packed(sparse)) < 0.5 * len(zlib.compress(sparse.astype("<u8").tobytes(), 1))
+    for c in (sparse, np.array([1 << 40, 0, 3]), np.zeros(4, np.int64), np.array([255, 256]), np.array([255])):
+        assert sketch.unpacked(sketch.packed(c)).tolist() == c.tolist()
+
+    rows = spark.range(0, 4000, 1, 20).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") * 7919).alias("h"))
+
+    def make():
+        return lambda batch: iter([batch.column(0).to_numpy().astype(np.uint64)])
+
+    level = sketch.count_sketch(rows, make, 17)
+    want = np.bincount([r.h % (1 << 17) for r in rows.collect()], minlength=1 << 17)
+    assert (level == np.where(want > 0, 1 + np.floor(4 * np.log2(np.maximum(want, 1))), 0)).all()
