@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from perfmart.plans.catalog import QUERIES
 from perfmart.plans.report import report_stages
@@ -134,3 +135,27 @@ def test_registered_queries_read_whole_tables(spark):
         # (WindowGroupLimit is the per-key newest-row pick, not a row cap)
         for cap in ("GlobalLimit", "LocalLimit", "CollectLimit", "TakeOrderedAndProject", "Sample"):
             assert cap not in p, (key, cap)
+
+
+def test_wide_rows_are_dealt_out_by_their_number(spark, monkeypatch):
+    """The partitions in which wide rows are compared follow the number of rows,
+    not the session's partitions (8 here), and the rows are dealt out once."""
+    from perfmart.operators import recode, relational, snapshot
+
+    monkeypatch.setattr(relational, "ROWS_A_TASK", 5)
+    cores = spark.sparkContext.defaultParallelism
+    n = 5 * (cores + 12)
+    rows = spark.range(n).selectExpr(*[f"concat('{c}', id % 500) AS {c}" for c in recode.DEAL_BY], "id * 1.5D AS value",
+                                     "date_add(date'2024-01-01', int(id % 2)) AS day")
+
+    def parts(df) -> list[int]:
+        return [int(x) for x in re.findall(r"Exchange hashpartitioning\(.*?, (\d+)\)", plan(df))]
+
+    assert parts(recode.distinct_staging(rows)) == [cores + 12]
+    assert parts(relational.distinct_rows(rows)) == [cores + 12]
+    twice = rows.unionByName(rows)
+    assert relational.distinct_rows(twice).count() == recode.distinct_staging(twice).count() == n
+    newest = snapshot.latest_calculation(rows.unionByName(rows.withColumn("day", rows["day"] + F.expr("interval 7 days"))),
+                                         ["isin", "startDate", "value"], "day")
+    assert parts(newest) == [2 * (cores + 12)]
+    assert newest.count() == n and newest.where("day < date'2024-01-08'").isEmpty()
