@@ -159,3 +159,16 @@ def test_wide_rows_are_dealt_out_by_their_number(spark, monkeypatch):
                                          ["isin", "startDate", "value"], "day")
     assert parts(newest) == [2 * (cores + 12)]
     assert newest.count() == n and newest.where("day < date'2024-01-08'").isEmpty()
+
+
+def test_rows_with_peer_names_are_made_distinct_once(spark):
+    """They stay distinct, with one (partial and final) aggregate over the wide rows."""
+    from perfmart.operators import peers, relational
+
+    feed = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", "y")], "Cod string, Lib string")
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), (None, 3), (None, 3)], "peersValue string, k int")
+    want = [("a", 1, "x"), ("a", 1, "y"), ("b", 2, None), (None, 3, None)]
+    for given in (df, relational.distinct_rows(df)):
+        named = peers.attach_peer_name(given, feed)
+        assert plan(named).count("HashAggregate") == 2
+        assert sorted(map(tuple, named.collect()), key=str) == sorted(want, key=str)
