@@ -172,3 +172,51 @@ def test_rows_with_peer_names_are_made_distinct_once(spark):
         named = peers.attach_peer_name(given, feed)
         assert plan(named).count("HashAggregate") == 2
         assert sorted(map(tuple, named.collect()), key=str) == sorted(want, key=str)
+
+
+def test_wide_rows_after_the_peer_names_are_dealt_out_by_their_number(spark, monkeypatch):
+    """Sector rows, propagated dates and output columns: no distinct compares the
+    rows of a file split, and the output columns need no exchange of their own."""
+    from perfmart.operators import peers, periods, publish, relational
+    from perfmart.operators.colocated import bucketed_cut
+    from perfmart.sources.files import stage_to_parquet
+
+    monkeypatch.setattr(relational, "ROWS_A_TASK", 5)
+    n = 5 * (spark.sparkContext.defaultParallelism + 12)
+    rows = spark.range(n).selectExpr(
+        "concat('p', id % 3) AS peersValue", "if(id % 2 = 0, 'IA SECTOR', concat('IA France ', id)) AS groupInvestment",
+        "concat('i', id) AS isin", "'r' AS reportName", "'EUR' AS reportCurrency", "'YTD' AS periodType", "date'2024-01-07' AS date",
+        "if(id % 2 = 0, null, date'2024-01-01') AS periodStartDate", "if(id % 2 = 0, null, date'2024-01-07') AS periodEndDate", "id * 1.5D AS value")
+    twice = stage_to_parquet(rows.unionByName(rows))
+
+    def wide(df) -> list[int]:
+        found = re.findall(r"Exchange hashpartitioning\((.*?), (\d+)\)", re.sub(r"#\d+L?", "", plan(df)))
+        return [int(k) for by, k in found if "isin" in by]
+
+    def first(df) -> str:   # what a wide exchange reads: no partial aggregate
+        p = re.sub(r"#\d+L?", "", plan(df))
+        return p[p.index("Exchange hashpartitioning(" + re.search(r"Exchange hashpartitioning\((.*?isin.*?), \d+\)", p)[1]):].splitlines()[1]
+
+    sectors = spark.createDataFrame([("q", "France")], "peersValue string, sector string")
+    fan = peers.sector_fanout(twice, sectors)
+    assert wide(fan) == [2 * n // 5] and "Aggregate" not in first(fan)   # n / 2 rows, twice, under two peers
+    assert fan.count() == n // 2 * 2   # under its own peer and under q
+    dated = periods.propagate_dates(twice)
+    stored = periods.propagate_stored_dates(bucketed_cut(twice, periods.DATE_KEYS))
+    for df in (dated, stored):
+        assert wide(df) == [2 * n // 5] and "Aggregate" not in first(df)
+        assert df.count() == n and df.where("periodStartDate IS NULL").isEmpty()
+    columns = [c for c in rows.columns if c != "peersValue"]
+    out = publish.final_projection(periods.propagate_dates(twice.withColumnRenamed("value", "return"), by=[c for c in columns if c not in (
+        "value", "reportName")]), [{"value": "return"}.get(c, c) for c in columns])
+    report = publish.scale_and_label(out, "House Fund", renames=(("periodType", "period"),))
+    for df in (out, report):
+        assert wide(df) == [2 * n // 5] and df.count() == n
+
+
+def test_cuts_are_files_of_bounded_rows(spark, monkeypatch):
+    from perfmart.sources import files
+
+    monkeypatch.setattr(files, "ROWS_A_FILE", 7)
+    kept = files.stage_to_parquet(spark.range(20, numPartitions=1))
+    assert len(kept.inputFiles()) == 3 and sorted(r.id for r in kept.collect()) == list(range(20))
