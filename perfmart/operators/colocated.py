@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from perfmart.operators.relational import orderable_columns, session_partitions
 from perfmart.session import scratch_path
+from perfmart.sources import files
 
 SPREAD = "__spread"
 #: Buckets over which the rows of one key lie.
@@ -30,9 +31,10 @@ def bucketed_cut(df: DataFrame, by: Sequence[str], spreads: int = SPREADS, bucke
     n = buckets or session_partitions(df)
     name = f"cut_{uuid.uuid4().hex[:12]}"
     spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in orderable_columns(df)]), F.lit(spreads)).cast("int")
-    # the rows of a bucket come from one task each, so a bucket is one file
+    # the rows of a bucket come from one task each; where they are many, its files hold
+    # the rows of a cut's files, so a scan that needs no buckets packs no more into a task
     (df.withColumn(SPREAD, spread).repartition(n, *by, SPREAD)
-       .write.option("path", scratch_path(df.sparkSession, name)).bucketBy(n, *by, SPREAD).sortBy(*by, SPREAD).saveAsTable(name))
+       .write.option("path", scratch_path(df.sparkSession, name)).option("maxRecordsPerFile", files.ROWS_A_FILE).bucketBy(n, *by, SPREAD).sortBy(*by, SPREAD).saveAsTable(name))
     return df.sparkSession.table(name)
 
 

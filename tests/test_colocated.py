@@ -54,3 +54,18 @@ def test_stored_dates_equal_the_plain_step(spark, static_plans):
     wide = [x for x in p.split("\n") if "Exchange" in x and "groupInvestment" in x]
     assert wide == [] and SPREAD in p
     assert "i#" not in "".join(x for x in p.split("\n") if "Exchange" in x)
+
+
+def test_files_of_a_bucket_hold_bounded_rows(spark, static_plans, monkeypatch):
+    """A scan without a join packs files, not buckets, into its tasks."""
+    from perfmart.sources import files
+
+    monkeypatch.setattr(files, "ROWS_A_FILE", 7)
+    df = spark.range(300).select(F.concat(F.lit("k"), F.col("id") % 20).alias("k"), "id")
+    lookup = df.select("k", F.length("k").alias("v")).distinct()
+    cut = bucketed_cut(df, ["k"], buckets=4)
+    assert cut.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 7
+    assert key(cut.drop(SPREAD)) == key(df)
+    out = colocated_join(cut, lookup, ["k"])
+    assert "Bucketed: true" in plan(out) and plan(out).count("FileScan") == 1
+    assert key(out.select("k", "id", "v")) == key(df.join(lookup, "k").select("k", "id", "v"))
